@@ -51,8 +51,11 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
 
 # X-12 ---------------------------------------------------------------------
 def round_half_even(x, digits: int = 0) -> Column:
-    """pandas/numpy rounding sites."""
-    return F.bround(_c(x), digits)
+    """pandas/numpy rounding sites: numpy scales the binary double, rounds half
+    to even, and scales back (``rint(x * 10^d) / 10^d``); ``bround`` would
+    round the decimal text instead and differ on near-ties."""
+    scale = float(10 ** digits)
+    return F.rint(_c(x) * F.lit(scale)) / F.lit(scale)
 
 
 def round_half_away(x, digits: int = 0) -> Column:
@@ -84,7 +87,7 @@ def equal_width_bin(x, lo, hi, bins: int = 20) -> Column:
     """pd.cut(x, bins) label 0..bins-1 (right-closed, first edge widened);
     an all-equal group gets the middle label like pandas."""
     width = hi - lo
-    raw = F.greatest(F.ceil((_c(x) - lo) / width * F.lit(bins)) - 1, F.lit(0))
+    raw = F.greatest(F.ceil(F.try_divide(_c(x) - lo, width) * F.lit(bins)) - 1, F.lit(0))
     return F.when(width == 0, F.lit(bins // 2 - 1)).otherwise(raw).cast("bigint")
 
 

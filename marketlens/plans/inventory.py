@@ -12,6 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from marketlens.functions.numeric import round_half_even
 from pyspark.sql import Window
 
 from marketlens.functions import dates as X
@@ -69,11 +71,11 @@ def eoq_rop(t: Tables, demand: DataFrame | None = None) -> DataFrame:
     p = V.product_info(t).select("product_id", "product_name", "manufacturing_cost", "daily_storage_cost",
                                  "manufacturing_time")
     j = d.join(p, "product_id", "left")
-    eoq = F.bround(F.sqrt(F.try_divide(F.lit(2.0) * F.col("predicted_quantity") * F.col("manufacturing_cost"),
+    eoq = round_half_even(F.sqrt(F.try_divide(F.lit(2.0) * F.col("predicted_quantity") * F.col("manufacturing_cost"),
                                        F.col("daily_storage_cost") * F.lit(365.0))), 0)
-    weekly = F.bround(F.col("predicted_quantity") / F.lit(52.0), 0)
+    weekly = round_half_even(F.col("predicted_quantity") / F.lit(52.0), 0)
     return j.withColumns({"economic_order_quantity": eoq, "forecasted_avg_weekly_demand": weekly}).withColumn(
-        "reorder_point", F.bround(F.col("forecasted_avg_weekly_demand") * F.col("manufacturing_time"), 0))
+        "reorder_point", round_half_even(F.col("forecasted_avg_weekly_demand") * F.col("manufacturing_time"), 0))
 
 
 def starting_stock(t: Tables, year: int = FORECAST_YEAR) -> DataFrame:             # I-08

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.functions.numeric import round_half_even
+
 from marketlens.functions.numeric import money_sum
 from marketlens.operators.aggregates import histogram
 from marketlens.sources import standins as V
@@ -57,7 +59,7 @@ def attribute_revenue(t: Tables) -> DataFrame:
     c = c.crossJoin(F.broadcast(tot))
     w = F.col("campaign_revenue") / F.col("_tot")
     return c.withColumn("revenue_weight", w).withColumn(
-        "new_campaign_revenue", F.bround(w * F.col("total_purchase_value"), 2)).drop("_tot")
+        "new_campaign_revenue", round_half_even(w * F.col("total_purchase_value"), 2)).drop("_tot")
 
 
 def estimate_budget(t: Tables) -> DataFrame:                                        # M-03
@@ -66,7 +68,7 @@ def estimate_budget(t: Tables) -> DataFrame:
     zero = (F.col("campaign_revenue") == 0) | (F.col("new_campaign_revenue") == 0)
     return c.withColumn("budget_to_revenue_ratio", ratio).withColumn(
         "new_campaign_budget",
-        F.bround(F.when(zero, F.col("duration") * F.lit(float(DAILY_BUDGET)))
+        round_half_even(F.when(zero, F.col("duration") * F.lit(float(DAILY_BUDGET)))
                  .otherwise(F.col("new_campaign_revenue") * ratio), 2))
 
 

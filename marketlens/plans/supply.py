@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from marketlens.functions.numeric import round_half_even
 from pyspark.sql import Window
 
 from marketlens.functions import text as TX
@@ -101,7 +103,7 @@ def product_costs(t: Tables, rules=ORDER_PRICE_RULES) -> DataFrame:
     disc = TX.first_keyword_rule("product_name", rules)
     return (p.select("product_id", "product_name", "weight_kg", "price",
                      (F.col("weight_kg") * F.lit(STORAGE_RATE)).alias("daily_storage_cost"),
-                     F.bround(F.col("price") * (F.lit(1.0) - disc), 2).alias("manufacturing_cost"))
+                     round_half_even(F.col("price") * (F.lit(1.0) - disc), 2).alias("manufacturing_cost"))
             .dropna(subset=["manufacturing_cost"]))
 
 

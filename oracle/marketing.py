@@ -15,12 +15,12 @@ SALES = f"""(SELECT m.*, (SELECT coalesce(sum(d.purchase_value), CAST(0.0 AS DOU
              FROM {MKT} m)"""
 
 ATTR = f"""(SELECT s.*, s.campaign_revenue / tot.t AS revenue_weight,
-                   round_even(s.campaign_revenue / tot.t * s.total_purchase_value, 2) AS new_campaign_revenue
+                   (round_even((s.campaign_revenue / tot.t * s.total_purchase_value) * 100.0, 0) / 100.0) AS new_campaign_revenue
             FROM {SALES} s CROSS JOIN (SELECT sum(campaign_revenue) AS t FROM {MKT} x) tot)"""
 
 BUDGET = f"""(SELECT a.*, CASE WHEN campaign_revenue = 0 THEN NULL ELSE campaign_budget / campaign_revenue END AS budget_to_revenue_ratio,
-                     round_even(CASE WHEN campaign_revenue = 0 OR new_campaign_revenue = 0 THEN duration * CAST(20.0 AS DOUBLE)
-                                     ELSE new_campaign_revenue * (campaign_budget / campaign_revenue) END, 2) AS new_campaign_budget
+                     (round_even((CASE WHEN campaign_revenue = 0 OR new_campaign_revenue = 0 THEN duration * CAST(20.0 AS DOUBLE)
+                                     ELSE new_campaign_revenue * (campaign_budget / campaign_revenue) END) * 100.0, 0) / 100.0) AS new_campaign_budget
               FROM {ATTR} a)"""
 
 CAPS = """(SELECT * FROM (VALUES ('affiliate', 'Flash Sales', CAST(100 AS DOUBLE)),

@@ -54,14 +54,14 @@ SQL = {
     "b06_product_costs": ("""
         SELECT * FROM (
           SELECT product_id, product_name, weight_kg, price, weight_kg * CAST(0.02 AS DOUBLE) AS daily_storage_cost,
-                 round_even(price * (CAST(1.0 AS DOUBLE) - CASE
+                 (round_even((price * (CAST(1.0 AS DOUBLE) - CASE
                      WHEN contains(lower(product_name), 'widget') THEN CAST(0.6 AS DOUBLE)
                      WHEN contains(lower(product_name), 'plate') THEN CAST(0.4 AS DOUBLE)
                      WHEN contains(lower(product_name), 'ring') THEN CAST(0.5 AS DOUBLE)
                      WHEN contains(lower(product_name), 'bolt') THEN CAST(0.3 AS DOUBLE)
                      WHEN contains(lower(product_name), 'gear') THEN CAST(0.5 AS DOUBLE)
                      WHEN contains(lower(product_name), 'rod') THEN CAST(0.4 AS DOUBLE)
-                     WHEN contains(lower(product_name), 'anvil') THEN CAST(0.3 AS DOUBLE) END), 2) AS manufacturing_cost
+                     WHEN contains(lower(product_name), 'anvil') THEN CAST(0.3 AS DOUBLE) END)) * 100.0, 0) / 100.0) AS manufacturing_cost
           FROM v_product_info) x WHERE manufacturing_cost IS NOT NULL""",
         ["weight_kg", "price", "daily_storage_cost", "manufacturing_cost"]),
     "b07_monthly_stock": (f"""
