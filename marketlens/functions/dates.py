@@ -88,7 +88,8 @@ def month_number(name) -> Column:
 
 # X-04 ---------------------------------------------------------------------
 def elapsed_seconds(start, end) -> Column:
-    return (F.unix_seconds(_c(end).cast("timestamp")) - F.unix_seconds(_c(start).cast("timestamp")))
+    """Elapsed seconds with microsecond precision (pandas total_seconds)."""
+    return (F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))) / F.lit(1e6)
 
 
 def elapsed_days(start, end) -> Column:

@@ -170,7 +170,8 @@ def global_scalars(df: DataFrame, col: str) -> DataFrame:
 def with_overall_row(groups: DataFrame, key: str, value: str, label: str = "Overall",
                      digits: int = 2) -> DataFrame:                               # A-21
     """Total row = unweighted mean of the (rounded) group means, not a weighted rollup."""
-    overall = groups.agg(F.round(F.avg(value), digits).alias(value)).select(
+    from marketlens.functions.numeric import round_half_even
+    overall = groups.agg(round_half_even(F.avg(value), digits).alias(value)).select(
         F.lit(label).alias(key), value)
     return groups.select(key, value).unionByName(overall)
 

@@ -11,7 +11,7 @@ def addm(expr: str, n: int) -> str:
 
 def days(a: str, b: str) -> str:
     """floor of elapsed days from a to b."""
-    return f"CAST(floor((epoch({b}) - epoch({a})) / 86400) AS BIGINT)"
+    return f"CAST(floor(((epoch_us({b}) - epoch_us({a})) / CAST(1000000.0 AS DOUBLE)) / 86400) AS BIGINT)"
 
 
 CHURN = f"""
