@@ -87,30 +87,32 @@ def sentiment_distribution(t: Tables) -> DataFrame:
     return _value_counts(label_sentiment(t), "sentiment")
 
 
+def _sentiment_of(score_col):
+    return F.when(score_col <= NEGATIVE_MAX_SCORE, "negative").otherwise("positive")
+
+
 def top_ngrams(t: Tables, k: int = 10, max_n: int = 3) -> DataFrame:                # R-08
     """k most frequent n-grams (n = 1..max_n) of the cleaned token text, tokens
-    of 2+ characters, per sentiment label; ties by the n-gram text."""
-    c = clean_reviews(t).join(label_sentiment(t).select("review_id", "sentiment"), "review_id")
+    of 2+ characters, per sentiment label; ties by the n-gram text. One pass:
+    every n-gram of every n is generated in one array and exploded once."""
+    c = clean_reviews(t)
     toks = F.filter(F.split(F.col("tokens_text"), " "), lambda x: F.length(x) >= 2)
-    c = c.select("sentiment", toks.alias("toks"))
-    frames = []
-    for n in range(1, max_n + 1):
-        grams = F.transform(F.sequence(F.lit(0), F.size("toks") - n),
-                            lambda i: F.array_join(F.slice("toks", i + 1, n), " "))
-        g = c.where(F.size("toks") >= n).select("sentiment", F.lit(n).cast("bigint").alias("n"),
-                                                 F.explode(grams).alias("ngram"))
-        frames.append(g)
-    allg = frames[0]
-    for f in frames[1:]:
-        allg = allg.unionByName(f)
-    counts = allg.groupBy("sentiment", "n", "ngram").agg(F.count(F.lit(1)).alias("count"))
+    c = c.select(_sentiment_of(F.col("review_score")).alias("sentiment"), toks.alias("toks"))
+    def grams(n: int):
+        starts = F.filter(F.sequence(F.lit(0), F.size("toks") - 1), lambda i: i <= F.size("toks") - n)
+        return F.transform(starts, lambda i: F.struct(F.lit(n).cast("bigint").alias("n"),
+                                                      F.array_join(F.slice("toks", i + 1, n), " ").alias("ngram")))
+    per_n = [grams(n) for n in range(1, max_n + 1)]
+    g = c.select("sentiment", F.explode(F.concat(*per_n)).alias("g")).select("sentiment", "g.n", "g.ngram")
+    counts = g.groupBy("sentiment", "n", "ngram").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy("sentiment", "n").orderBy(F.desc("count"), F.asc("ngram"))
     return counts.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
 def word_frequency(t: Tables, k: int = 50) -> DataFrame:                             # R-09
-    c = clean_reviews(t).join(label_sentiment(t).select("review_id", "sentiment"), "review_id")
-    words = c.select("sentiment", F.explode(F.split("tokens_text", " ")).alias("word")).where(F.col("word") != "")
+    c = clean_reviews(t)
+    words = c.select(_sentiment_of(F.col("review_score")).alias("sentiment"),
+                     F.explode(F.split("tokens_text", " ")).alias("word")).where(F.col("word") != "")
     counts = words.groupBy("sentiment", "word").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy("sentiment").orderBy(F.desc("count"), F.asc("word"))
     return counts.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)

@@ -1,0 +1,72 @@
+"""Generic operators: exactness against brute force and properties."""
+
+from pyspark.sql import functions as F
+
+from marketlens.operators import aggregates as A
+from marketlens.operators import frame as FR
+from marketlens.operators import joins as J
+from marketlens.operators import windows as W
+
+
+def _ratio(a, b):
+    import difflib  # noqa: F401
+    # Levenshtein distance by dynamic programming
+    m, n = len(a), len(b)
+    d = list(range(n + 1))
+    for i in range(1, m + 1):
+        prev, d[0] = d[0], i
+        for j in range(1, n + 1):
+            cur = d[j]
+            d[j] = min(d[j] + 1, d[j - 1] + 1, prev + (a[i - 1] != b[j - 1]))
+            prev = cur
+    mx = max(m, n)
+    return 100 if mx == 0 else int((1 - d[n] / mx) * 100 + 0.5)
+
+
+def test_fuzzy_top_k_matches_brute_force(spark):
+    qs = ["brasil", "argentna", "chle", "peru", "x"]
+    cs = ["brazil", "argentina", "chile", "peru", "paraguay", "uruguay", "bolivia"]
+    q = spark.createDataFrame([(v,) for v in qs], "name string")
+    c = spark.createDataFrame([(v,) for v in cs], "cand string")
+    got = {(r["name"], r["candidate"], r["score"]) for r in J.fuzzy_top_k(q, "name", c, "cand", k=2).collect()}
+    want = set()
+    for a in qs:
+        sc = sorted(((_ratio(a, b), b) for b in cs if _ratio(a, b) >= 50), key=lambda x: (-x[0], x[1]))[:2]
+        want |= {(a, b, s) for s, b in sc}
+    assert got == want
+
+
+def test_add_row_index_is_dense_and_ordered(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")).repartition(7)
+    out = FR.add_row_index(df, [F.col("v")]).orderBy("row_index").collect()
+    assert [r["row_index"] for r in out] == list(range(1, 1001))
+    assert [r["v"] for r in out] == list(range(1000))
+
+
+def test_mode_ties_are_stable(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, 1.0), (1, 2.0), (1, 1.0), (2, 5.0)], "k int, v double")
+    out = {r["k"]: r["v"] for r in A.mode_per_key(df, ["k"], ["v"]).collect()}
+    assert out == {1: 1.0, 2: 5.0}
+
+
+def test_interval_sum_both_ends_inclusive(spark):
+    import datetime as dt
+    ev = spark.createDataFrame([(dt.date(2020, 1, 1), 1.0), (dt.date(2020, 1, 3), 2.0), (dt.date(2020, 1, 5), 4.0)],
+                               "d date, v double")
+    rg = spark.createDataFrame([(1, dt.date(2020, 1, 1), dt.date(2020, 1, 3)), (2, dt.date(2020, 1, 6), dt.date(2020, 1, 7))],
+                               "id int, s date, e date")
+    out = {r["id"]: r["period_sales"] for r in J.interval_sum(ev, "d", "v", rg, "s", "e", "id").collect()}
+    assert out == {1: 3.0, 2: 0.0}
+
+
+def test_previous_month_total_uses_calendar(spark):
+    import datetime as dt
+    m = spark.createDataFrame([(1, dt.date(2020, 1, 1), 5.0), (1, dt.date(2020, 3, 1), 7.0)], "p int, m date, v double")
+    out = {r["m"]: r["prev_month"] for r in W.previous_month_total(m, ["p"], "m", "v").collect()}
+    assert out == {dt.date(2020, 1, 1): 0.0, dt.date(2020, 3, 1): 0.0}
+
+
+def test_histogram_counts_all_rows(spark):
+    df = spark.range(101).select((F.col("id") / 100.0).alias("x"))
+    h = A.histogram(df, "x", 10).collect()
+    assert sum(r["count"] for r in h) == 101 and len(h) == 10
