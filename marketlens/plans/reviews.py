@@ -99,7 +99,9 @@ def top_ngrams(t: Tables, k: int = 10, max_n: int = 3) -> DataFrame:
     toks = F.filter(F.split(F.col("tokens_text"), " "), lambda x: F.length(x) >= 2)
     c = c.select(_sentiment_of(F.col("review_score")).alias("sentiment"), toks.alias("toks"))
     def grams(n: int):
-        starts = F.filter(F.sequence(F.lit(0), F.size("toks") - 1), lambda i: i <= F.size("toks") - n)
+        # starts 0..size-n; an empty (or null) token list gives no start at all
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("toks") - 1, F.lit(0))),
+                          lambda i: i <= F.size("toks") - n)
         return F.transform(starts, lambda i: F.struct(F.lit(n).cast("bigint").alias("n"),
                                                       F.array_join(F.slice("toks", i + 1, n), " ").alias("ngram")))
     per_n = [grams(n) for n in range(1, max_n + 1)]
