@@ -4,9 +4,7 @@ the JVM and inside whole-stage code generation; no Python per row."""
 from __future__ import annotations
 
 import functools
-import glob
 import os
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -82,27 +80,20 @@ def extract_number(x, prefix: str = "") -> Column:
 
 def strip_prefix(x, prefix: str) -> Column:
     c = _c(x)
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)
+    return F.when(c.startswith(prefix), F.substr(c, F.lit(len(prefix) + 1))).otherwise(c)
 
 
 # X-19 ---------------------------------------------------------------------
 @functools.lru_cache(maxsize=None)
 def default_stopwords(language: str = "english") -> tuple[str, ...]:
-    """Spark MLlib's default stop-word list for a language, read from the MLlib jar
-    (the same list ``StopWordsRemover.loadDefaultStopWords`` returns)."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                words = z.read(name).decode("utf-8").split()
-                return tuple(dict.fromkeys(w.strip() for w in words if w.strip()))
-    raise FileNotFoundError(f"no stop words for {language}")
-
-
-LANGUAGE_NAMES = {"en": "english", "fr": "french", "de": "german", "es": "spanish",
-                  "pt": "portuguese"}
+    """The shipped stop words of a language (``marketlens/resources/stopwords``)."""
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "resources", "stopwords",
+                        f"{language}.txt")
+    with open(path, encoding="utf-8") as f:
+        return tuple(dict.fromkeys(f.read().split()))
+
+
+LANGUAGE_NAMES = {"en": "english", "fr": "french", "de": "german", "es": "spanish"}
 
 
 def tokens(x) -> Column:

@@ -8,17 +8,17 @@ the last bits.
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.plans import (customers, fulfilment, generic, inventory, marketing, pricing, reviews,
+                              sales, supply)
 from marketlens.sources.tables import load_tables
 
-PLAN_MODULES = ["sales", "customers", "marketing", "reviews", "supply", "inventory",
-                "pricing", "fulfilment", "generic"]
+PLAN_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic]
 
 
 def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -34,13 +34,7 @@ def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
 def all_plans() -> dict[str, Callable]:
     out: dict[str, Callable] = {}
     for m in PLAN_MODULES:
-        try:
-            mod = importlib.import_module(f"marketlens.plans.{m}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name == f"marketlens.plans.{m}":
-                continue
-            raise
-        out.update(getattr(mod, "QUERIES", {}))
+        out.update(m.QUERIES)
     return out
 
 

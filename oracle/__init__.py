@@ -6,12 +6,10 @@ to 6 decimals like ``marketlens.plans.catalog.finalize`` does on the Spark side.
 
 from __future__ import annotations
 
-import importlib
-
+from oracle import customers, fulfilment, generic, inventory, marketing, pricing, reviews, sales, supply
 from oracle.views import with_views
 
-ORACLE_MODULES = ["sales", "customers", "marketing", "reviews", "supply", "inventory",
-                  "pricing", "fulfilment", "generic"]
+ORACLE_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic]
 
 
 def _wrap(sql: str, doubles: list[str]) -> str:
@@ -25,12 +23,6 @@ def _wrap(sql: str, doubles: list[str]) -> str:
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for m in ORACLE_MODULES:
-        try:
-            mod = importlib.import_module(f"oracle.{m}")
-        except ModuleNotFoundError as e:
-            if e.name == f"oracle.{m}":
-                continue
-            raise
-        for name, (sql, doubles) in mod.SQL.items():
+        for name, (sql, doubles) in m.SQL.items():
             out[name] = _wrap(sql, doubles)
     return out
