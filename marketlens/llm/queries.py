@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, html_main, language_id, mixing, pseudonyms, token_store, url_rules, winnowing
+from marketlens.llm import decontaminate, html_main, language_id, mixing, pseudonyms, substring_dedup, token_store, url_rules, winnowing
 
 # The rules (host, path, action) that op6 judges by.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
@@ -42,6 +42,12 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the windows of documents before it."""
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict."""
     rules = [url_rules.list_rule(*r) for r in URL_RULES] + [url_rules.word_rule(w) for w in url_rules.UNWANTED_HOST_WORDS]
@@ -74,5 +80,5 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.next_document_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_pseudonyms, op3_decontaminate, op4_mix, op6_url_filter, op7_token_store,
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_pseudonyms, op3_decontaminate, op4_mix, op5_substring_dedup, op6_url_filter, op7_token_store,
                                    op8_language_id, op10_winnowing)}

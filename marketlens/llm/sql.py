@@ -6,8 +6,8 @@ from __future__ import annotations
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP6 = f"""
-WITH u AS (SELECT page_id, url, strpos(url, '://') AS at FROM pages),
-r AS (SELECT page_id, CASE WHEN at > 0 THEN substr(url, CAST(at AS INTEGER) + 3) ELSE '' END AS rest FROM u),
+WITH u AS (SELECT page_id, url, strpos(url, '://') AS found FROM pages),
+r AS (SELECT page_id, CASE WHEN found > 0 THEN substr(url, CAST(found AS INTEGER) + 3) ELSE '' END AS rest FROM u),
 h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM r),
 p AS (SELECT page_id, translate(raw, {AZ}) AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
 rules(rule_host, rule_path, action) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
@@ -30,11 +30,24 @@ pat AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(list
 pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM w),
 hit AS (SELECT DISTINCT d.doc_id, d.k, p.size, p.item_id FROM (SELECT doc_id, k, size, array_to_string(list_slice(w, k, k + size - 1), ' ') AS win
             FROM pos, (SELECT DISTINCT size FROM pat) WHERE k + size - 1 <= len(w)) d JOIN pat p ON d.size = p.size AND d.win = p.win),
-words AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS at FROM hit) GROUP BY 1),
+words AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS word FROM hit) GROUP BY 1),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL = {"op3_decontaminate": OP3, "op6_url_filter": OP6}
+OP5 = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, k, array_to_string(list_slice(w, k, k + 12), ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM w WHERE len(w) >= 13)),
+least AS (SELECT s, min(doc_id) AS smallest FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 13)) AS k FROM win JOIN least USING (s) WHERE smallest < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS text FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+SQL = {"op5_substring_dedup": OP5, "op3_decontaminate": OP3, "op6_url_filter": OP6}
