@@ -95,6 +95,11 @@ def expand(data) -> bytes:
     return zstandard.ZstdDecompressor().decompress(bytes(data))
 
 
+def distinct(ranked: np.ndarray) -> np.ndarray:
+    """The distinct values of a sorted array."""
+    return ranked[np.concatenate([[True], ranked[1:] != ranked[:-1]])[:len(ranked)]]
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     """Ascending 64-bit values: differences in byte planes, squeezed."""
     if not len(values):

@@ -3,7 +3,7 @@
 The text of the corpus is a sequence of words. Its suffixes, cut at ``window``
 words, are dealt into groups by a prefix of variable length: a word, or two or
 more where so many suffixes begin alike that they would not fit a task. Each
-group's suffixes make a subtree: sorted by their words, neighbours' common
+group's suffixes make a subtree: sorted along their paths, neighbours' common
 prefixes are the depths of its internal nodes, and the nodes at depth
 ``window`` or deeper are the maximal repeats. A node's smallest document id
 decides which occurrences are removed.
@@ -13,8 +13,9 @@ depth; they are found by counting shortened hashes (``chunks``) and decided in
 their chunk. A suffix goes to its group once for each chunk, with the chunk's
 smallest id, so a passage that a third of all documents have is a few entries.
 
-Words are compared by 32-bit codes, windows also by a 64-bit hash: two different
-windows are taken for equal with a probability of about 2**-64.
+A suffix is sent as the path to its leaf: its first words as 32-bit codes, then
+one edge whose label, the rest of the window, is a 64-bit hash. Two different
+windows of one prefix are taken for equal with a probability of 2**-64.
 
 Edge cases: null and empty texts and texts of fewer words than a window keep all
 words; repeats within one document or among rows of one id are kept; a null id
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from marketlens.llm.chunks import (ANSWERS, CHUNK_BYTES, LISTS, NO_ID, PART_HASHES, Plan, answers, as_table, count_across, expand, list_rows,
-                                   pack_sorted, pieces, plan, squeeze, unpack, unpack_sorted)
+                                   distinct, pack_sorted, pieces, plan, squeeze, unpack, unpack_sorted)
 from marketlens.llm.textops import utf8, window_hashes, words
 
 WINDOW = 13
@@ -61,10 +62,15 @@ def _prefix_lists(h: np.ndarray, at: np.ndarray, least: float, chunk: int, parts
     """The chunk's prefixes of up to PREFIX_WORDS words with at least that many suffixes, as lists for the parts below zero."""
     found, live = [], at
     for length in range(1, PREFIX_WORDS + 1):
-        values, index, counts = np.unique(_prefix_hashes(h, live, length), return_inverse=True, return_counts=True)
+        p = _prefix_hashes(h, live, length)
+        cell = (p >> np.uint64(40)).astype(np.int64)         # a prefix can't be frequent where its cell isn't
+        often = np.bincount(cell, minlength=1 << 24)[cell] >= least
+        values, index, counts = np.unique(p[often], return_inverse=True, return_counts=True)
         big = counts >= least
         found.append((values[big], counts[big]))
-        live = live[big[index]]                              # a frequent prefix's beginnings are frequent
+        live = live[often][big[index]]                       # a frequent prefix's beginnings are frequent
+        if not len(live):
+            break
     values, first = np.unique(np.concatenate([v for v, _ in found]), return_index=True)
     counts = np.concatenate([c for _, c in found])[first]
     part = (values % np.uint64(parts)).astype(np.int64)
@@ -96,51 +102,52 @@ def _groups(h: np.ndarray, at: np.ndarray, split: np.ndarray, n: int) -> np.ndar
     return out
 
 
-def _suffixes(ids, d, h, at, w, short_counts: np.ndarray, p: Plan, split: np.ndarray, groups: int):
+def _suffixes(ids, d, h, at, w, short_counts: np.ndarray, p: Plan, split: np.ndarray, groups: int, lead: int):
     """A chunk's distinct windows in hash order and which of them go to a group.
 
     (order of the windows, first window of each distinct one, its smallest id, the distinct ones that other chunks may
-    have, their first words, their groups)
+    have in leaf order, their ``lead`` first words' codes, their groups)
     """
     order = np.argsort(w, kind="stable")                     # windows stand in ascending document order, and stay so
     ranked = w[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])[:len(ranked)])
     short = p.short(ranked[first])
-    sent = np.flatnonzero(short_counts[np.searchsorted(np.unique(short), short)] >= 2) if len(first) else first
-    begin = at[order[first[sent]]]
-    return order, first, ids[d[at[order[first]]]], sent, begin, _groups(h, begin, split, groups)
+    sent = np.flatnonzero(short_counts[np.cumsum(np.concatenate([[0], short[1:] != short[:-1]]))[:len(short)]] >= 2)
+    codes = (h[at[order[first[sent]]][:, None] + np.arange(lead)] >> np.uint64(32)).astype(np.uint32)
+    rank = np.lexsort([ranked[first[sent]], *codes.T[::-1]])  # the order of the tree's leaves
+    sent, codes = sent[rank], codes[rank]
+    return order, first, ids[d[at[order[first]]]], sent, codes, _groups(h, at[order[first[sent]]], split, groups)
 
 
-def _pack_suffixes(codes: np.ndarray, check: np.ndarray, least: np.ndarray) -> bytes:
-    """One group's suffixes of a chunk: words column by column, part of the window hash, smallest ids."""
+def _pack_suffixes(codes: np.ndarray, tail: np.ndarray, least: np.ndarray) -> bytes:
+    """One group's suffixes of a chunk: the first words column by column, the last edges, the smallest ids."""
     ids, index = np.unique(least, return_inverse=True)
     packed = [pack_sorted(ids.view(np.uint64) ^ np.uint64(1 << 63)),
-              squeeze(np.ascontiguousarray(codes.T).tobytes() + check.tobytes() + index.astype(np.uint32).tobytes())]
+              squeeze(tail.tobytes() + np.ascontiguousarray(codes.T).tobytes() + index.astype(np.uint32).tobytes())]
     return b"".join(len(p).to_bytes(8, "little") + p for p in packed) + len(least).to_bytes(8, "little")
 
 
-def _unpack_suffixes(data: bytes, window: int):
+def _unpack_suffixes(data: bytes):
+    """(first words by row, last edges, smallest ids)."""
     a = int.from_bytes(data[:8], "little")
     ids = (unpack_sorted(data[8:8 + a]) ^ np.uint64(1 << 63)).view(np.int64)
-    b = int.from_bytes(data[8 + a:16 + a], "little")
-    n = int.from_bytes(data[-8:], "little")
-    every = np.frombuffer(expand(data[16 + a:16 + a + b]), np.uint32)
-    return every[:window * n].reshape(window, n), every[window * n:(window + 1) * n], ids[every[(window + 1) * n:]]
+    b, n = int.from_bytes(data[8 + a:16 + a], "little"), int.from_bytes(data[-8:], "little")
+    raw = expand(data[16 + a:16 + a + b])
+    rest = np.frombuffer(raw, np.uint32, offset=8 * n).reshape(-1, n)
+    return rest[:-1], np.frombuffer(raw, np.uint64, n), ids[rest[-1]]
 
 
-def subtree(codes: np.ndarray, check: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """A group's subtree: (suffix order, first suffix of each node at ``depth``), nodes of one leaf included.
+def subtree(codes: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A group's subtree: (leaf order, first leaf of each node at the window's depth), nodes of one leaf included.
 
-    codes has a row for each word of depth; suffixes are sorted by their words, and a node begins where the common
-    prefix with the suffix before is shorter than ``depth``.
+    codes has a row for each of the first words. The leaves are sorted along their paths; a node begins where the
+    common path with the leaf before ends above the window's depth.
     """
-    order = np.lexsort([check, *codes[depth - 1::-1]])
+    order = np.lexsort([tail, *codes[::-1]])
     common = np.ones(max(len(order) - 1, 0), bool)
-    for k in range(depth):
-        row = codes[k][order]
-        common &= row[1:] == row[:-1]
-    row = check[order]
-    common &= row[1:] == row[:-1]
+    for row in (*codes, tail):
+        ranked = row[order]
+        common &= ranked[1:] == ranked[:-1]
     return order, np.flatnonzero(np.concatenate([[True], ~common])[:len(order)])
 
 
@@ -155,31 +162,30 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     def count_lists(key, table):
         _, _, d, h, at, w = _windows(table, window)
         own = key[0].as_py()
-        return as_table(list_rows(p, own, np.unique(p.short(w)))
+        return as_table(list_rows(p, own, distinct(np.sort(p.short(w))))
                         + _prefix_lists(h, at, max(2, group_suffixes / (2 * p.chunks)), own, p.parts), LISTS)
 
     lists = packed.groupBy("chunk").applyInArrow(count_lists, LISTS)
     held = cut_lineage(count_across(lists, _prefixes_above(group_suffixes)))
     over = [unpack_sorted(r["counts"]) for r in held.where("chunk < 0").collect()]   # at most PREFIX_WORDS for each group_suffixes windows
     split = np.unique(np.concatenate(over)) if over else np.zeros(0, np.uint64)
-    groups = max(1, p.words // group_suffixes)
+    groups, lead = max(1, p.words // group_suffixes), min(PREFIX_WORDS, window)
     counts = held.where("chunk >= 0")
 
     def send(key, left, right):
         ids, _, d, h, at, w = _windows(left, window)
-        order, first, least, sent, begin, group = _suffixes(ids, d, h, at, w, answers(right), p, split, groups)
+        order, first, least, sent, codes, group = _suffixes(ids, d, h, at, w, answers(right), p, split, groups, lead)
         rows = []
         for g in np.unique(group).tolist():
             own = np.flatnonzero(group == g)
-            codes = (h[begin[own][:, None] + np.arange(window)] >> np.uint64(32)).astype(np.uint32)
-            rows.append((g, key[0].as_py(), _pack_suffixes(codes, w[order[first[sent[own]]]].astype(np.uint32), least[sent[own]])))
+            rows.append((g, key[0].as_py(), _pack_suffixes(codes[own], w[order[first[sent[own]]]], least[sent[own]])))
         return as_table(rows, "grp int, chunk int, suffixes binary")
 
     def judge(table):
         chunk, group = table.column("chunk").to_pylist(), table.column("grp")[0].as_py()
-        parts = [_unpack_suffixes(x.as_py(), window) for x in table.column("suffixes")]
+        parts = [_unpack_suffixes(x.as_py()) for x in table.column("suffixes")]
         least = np.concatenate([x[2] for x in parts])
-        order, first = subtree(np.concatenate([x[0] for x in parts], axis=1), np.concatenate([x[1] for x in parts]), window)
+        order, first = subtree(np.concatenate([x[0] for x in parts], axis=1), np.concatenate([x[1] for x in parts]))
         smallest = np.repeat(np.minimum.reduceat(least[order], first), np.diff(np.append(first, len(order))))
         later = np.empty(len(order), np.uint8)
         later[order] = smallest < least[order]
@@ -192,7 +198,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     def finish(key, left, right):
         ids, texts, d, h, at, w = _windows(left, window)
         counted = np.array([x >= 0 for x in right.column("part").to_pylist()], bool)
-        order, first, least, sent, _, group = _suffixes(ids, d, h, at, w, answers(right.filter(pa.array(counted))), p, split, groups)
+        order, first, least, sent, _, group = _suffixes(ids, d, h, at, w, answers(right.filter(pa.array(counted))), p, split, groups, lead)
         later = np.zeros(len(first), bool)
         for part, blob in zip(right.column("part").to_pylist(), right.column("counts").to_pylist(), strict=True):
             if part < 0:
