@@ -1,7 +1,80 @@
-"""The corpus pipeline: language ID, near duplicates, benchmark leaks, source mix, token files."""
-STAGES = []
+"""The corpus pipeline: language ID, near duplicates, benchmark leaks, source mix, token files.
+
+Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read again as the next
+one's docs; all but the last return the columns of the documents. Stages keep a row's other columns as they are.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketlens.llm import decontaminate, language_id, mixing, queries, similarity_join, token_store
+from marketlens.session import checkpoint_dir, cut_lineage
+
+#: Ids up to this many are broadcast (8 bytes each) when rows are dropped by id; more are joined by shuffling.
+BROADCAST_IDS = 4_000_000
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct(*docs.columns).alias("row"), "text", "lang")
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents in which no language is found: no text, no letter, or no likeness to any language. The
+    languages are learned from the documents that have one."""
+    known = language_id.collect_prototypes(language_id.learn_prototypes(docs))
+    judged = language_id.identify(_with_row(docs), known, doc_id="row")
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") > 0)).select("doc_id.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by four fifths of their 5-word shingles the one of the smallest id stays; of
+    rows that repeat an id and a text one stays. Rows without an id stay."""
+    groups = cut_lineage(similarity_join.similar_groups(docs))
+    drop = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
+    twice = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    small = lambda d: F.broadcast(d) if d.count() <= BROADCAST_IDS else d
+    kept = docs.join(small(drop), F.col("doc_id") == F.col("_id"), "left_anti")
+    again = small(twice)
+    once = kept.join(again, F.col("doc_id") == F.col("_id"), "left_anti")
+    repeated = kept.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(repeated)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents with a window of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_leaks(_with_row(docs), benchmark, doc_id="row")
+    return found.where(F.size("items") == 0).select("doc_id.*")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice."""
+    return mixing.mixed_documents(docs)
+
+
+def store_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token store's documents, read back from its files."""
+    import public_tokenizers
+    path = token_store.write_store(docs, token_store.new_store_path(spark), public_tokenizers.path("word_bpe_49k.json"), queries.END_ID)
+    return queries.store_digest(token_store.read_store(spark, path))
+
+
+STAGES = [("language_id", identify_languages), ("near_duplicates", drop_near_duplicates), ("benchmark_leaks", drop_leaks),
+          ("source_mix", mix_sources), ("token_store", store_tokens)]
+
+#: The first stage's model has no SQL form; the pipeline is tested stage by stage.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder; the stages' tables are written beside the cluster's checkpoints."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -65,18 +65,17 @@ def _vectors(codes: np.ndarray, m: int, used: np.ndarray, size: int, seed: int)
     return np.roll(v, 2, 1)[codes // (m * m)] * np.roll(v, 1, 1)[codes // m % m] * v[codes % m]
 
 
-def _blocks(batch, names):
-    """Lists of rows with about BLOCK characters."""
-    cols = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
-    held, used = [], 0
-    for row in zip(*cols, strict=True):
-        held.append(row)
-        used += len(row[1] or "") + 1
+def _blocks(batch):
+    """(first column, texts) of rows with about BLOCK characters together."""
+    texts = batch.column(1).to_pylist()
+    start = used = 0
+    for k, t in enumerate(texts):
+        used += len(t or "") + 1
         if used >= BLOCK:
-            yield held
-            held, used = [], 0
-    if held:
-        yield held
+            yield batch.column(0).slice(start, k + 1 - start), texts[start:k + 1]
+            start, used = k + 1, 0
+    if start < len(texts):
+        yield batch.column(0).slice(start), texts[start:]
 
 
 def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", size: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
@@ -85,9 +84,9 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
     def bundle(batches):
         letters, sums = _letters(), {}
         for batch in batches:
-            for rows in _blocks(batch, ["_lang", "_text"]):
+            for langs, rows in _blocks(batch):
                 by: dict[str, list[str]] = {}
-                for name, t in rows:
+                for name, t in zip(langs.to_pylist(), rows, strict=True):
                     by.setdefault(name, []).append(t)
                 for name, texts in by.items():
                     used, _, tri, m = _trigrams(texts, letters)
@@ -133,7 +132,8 @@ def collect_prototypes(table: DataFrame) -> dict[str, list[float]]:
 
 
 def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
-    """(doc_id, lang_pred, score): the language of the highest cosine, and that cosine (0 if negative)."""
+    """(doc_id, lang_pred, score): the language of the highest cosine, and that cosine (0 if negative). A narrow step;
+    doc_id may be a column of any type, such as a struct of the whole row."""
     names = sorted(prototypes)
     size = len(next(iter(prototypes.values()), []))
 
@@ -142,9 +142,9 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
         known = np.array([prototypes[n] for n in names], np.float64)
         known = (known / np.linalg.norm(known, axis=1, keepdims=True)).T if names else known
         for batch in batches:
-            for rows in _blocks(batch, ["_id", "_text"]):
+            for ids, rows in _blocks(batch):
                 pred, score = ["und"] * len(rows), np.zeros(len(rows))
-                used, doc, tri, m = _trigrams([t or "" for _, t in rows], letters)
+                used, doc, tri, m = _trigrams([t or "" for t in rows], letters)
                 if names and len(used):
                     codes, index = _ranked(tri, m ** 3)
                     edges = np.searchsorted(doc, np.arange(0, len(rows) + ROWS, ROWS))
@@ -166,8 +166,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                         has[np.unique(doc[edges[k]:edges[k + 1]] - k * ROWS)] = True
                         for i in np.flatnonzero(has):
                             pred[k * ROWS + i], score[k * ROWS + i] = names[best[i]], min(max(cos[i, best[i]], 0.0), 1.0)
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], batch.schema.field("_id").type), pa.array(pred),
-                                                  pa.array(score)], ["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(pred), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()

@@ -13,8 +13,8 @@ excess goes to the other sources by weight until none is above.
 
 Edge cases: a null text has size 0 and takes 0; a null source is a source of
 its own, the last; documents of size 0 take 0; an empty table gives no rows.
-Repeated rows are separate documents. Ties in the seeded order are broken by
-id, size and row content; other columns are not read. Reruns agree.
+Repeated rows have the same place in the seeded order, so they are taken alike;
+other columns are not read. Reruns agree.
 """
 
 from __future__ import annotations
@@ -129,12 +129,12 @@ def plan_flow(patterns: dict[tuple, float], quotas: dict, max_repeats: int) -> d
     return out
 
 
-def _choose(docs: DataFrame, quotas: DataFrame, few: bool) -> DataFrame:
-    """Adds _extra (0 or 1): the documents, in seeded order within _p, whose sizes come to the quota _q of their group.
+def _cut_points(docs: DataFrame, quotas: DataFrame, few: bool) -> DataFrame:
+    """(_p, _from, _best): the documents of group _p with _u below _from, in seeded order, come to the quota _q; the one
+    document at _best, the closest to the words then missing, is added where it helps (else null).
 
-    The order's place where the quota is reached is found level by level: sizes are summed by bucket of the seeded
-    value (partial sums in each task), and only the bucket in which the quota falls is looked into further. One more
-    document, the one that comes closest to the words still missing, is added where it helps.
+    The place is found level by level: sizes are summed by bucket of the seeded value (partial sums in each task), and
+    only the bucket in which the quota falls is looked into further.
     """
     small = F.broadcast if few else (lambda d: d)
     bits = 63
@@ -150,31 +150,24 @@ def _choose(docs: DataFrame, quotas: DataFrame, few: bool) -> DataFrame:
         state = cut_lineage(state.join(ends, "_p", "left").select(
             "_p", (F.col("_left") - F.coalesce("_done", F.lit(0))).alias("_left"),
             F.coalesce(F.shiftleft("_at", bits), F.lit((1 << 63) - 1)).alias("_from")))
-    # what precedes _from is chosen; of the rest, the one that comes closest to the words still missing
-    marked = docs.join(small(state), "_p", "left").withColumn("_in", F.coalesce(F.col("_u") < F.col("_from"), F.lit(False)))
-    rank = F.struct(F.abs(F.col("_size") - F.col("_left")).alias("d"), F.col("_u").alias("u"), F.col("_row").alias("r"))
-    best = marked.where(~F.col("_in") & (F.col("_size") > 0)).groupBy("_p").agg(F.min(rank).alias("_best"), F.max("_left").alias("_miss")).where(
-        F.col("_best.d") < F.col("_miss")).select(F.col("_p").alias("_bp"), F.col("_best.r").alias("_br"))
-    last = marked.join(small(best), (F.col("_p") == F.col("_bp")) & (F.col("_row") == F.col("_br")), "left")
-    return last.withColumn("_extra", F.when(F.col("_in") | F.col("_br").isNotNull(), 1).otherwise(0))
+    rest = docs.join(small(state), "_p").where((F.col("_u") >= F.col("_from")) & (F.col("_size") > 0))
+    best = rest.groupBy("_p").agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_left")).alias("d"), F.col("_u").alias("u"))).alias("_b"))
+    return state.join(best, "_p", "left").select("_p", "_from", F.when(F.col("_b.d") < F.col("_left"), F.col("_b.u")).alias("_best"))
 
 
-def mix(docs: DataFrame, total_share: float = 1.5, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = 2, seed: int = 7,
-        doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, size, source, source_size, target, repeats, taken), a row for each document.
-
-    ``source`` is a string column, or an array of strings for documents of several sources; source_size and target are
-    then those of its first source in order. The weights go round the sources in code point order, null last.
-    """
-    spark = docs.sparkSession
+def _seeded(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> list[Column]:
+    """_size, _of (the sources, in order), _p (their name as a group) and _u (the place in the seeded order) of a document."""
     kind = docs.select(F.col(source).alias("s")).schema["s"].dataType.simpleString()
     own = F.col(source) if kind.startswith("array") else F.array(F.col(source).cast("string"))
-    nullable = F.when(F.size(own) > 0, F.array_sort(F.array_distinct(own))).otherwise(F.array(F.lit(None).cast("string")))
+    of = F.when(F.size(own) > 0, F.array_sort(F.array_distinct(own))).otherwise(F.array(F.lit(None).cast("string")))
     size = word_count(F.col(text))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), size.alias("_size"), nullable.alias("_of"))
-    u = F.xxhash64(F.lit(seed), "doc_id", "_size", "_of").bitwiseAND(F.lit((1 << 63) - 1))
-    held = cut_lineage(rows.select("doc_id", "_size", "_of", F.to_json("_of", {"ignoreNullFields": "false"}).alias("_p"), u.alias("_u"),
-                                   F.monotonically_increasing_id().alias("_row")))
+    u = F.xxhash64(F.lit(seed), F.col(doc_id), size, of).bitwiseAND(F.lit((1 << 63) - 1))
+    return [size.alias("_size"), of.alias("_of"), F.to_json(of, {"ignoreNullFields": "false"}).alias("_p"), u.alias("_u")]
+
+
+def _plan(held: DataFrame, total_share: float, weights: tuple[float, ...], max_repeats: int) -> tuple[DataFrame, bool]:
+    """(_p, source, source_size, target, _whole, _from, _best) for each membership pattern, and whether the table is small."""
+    spark = held.sparkSession
     table = held.groupBy("_p").agg(F.first("_of").alias("of"), F.sum("_size").alias("n"))
     found = table.limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
@@ -182,21 +175,48 @@ def mix(docs: DataFrame, total_share: float = 1.5, weights: tuple[float, ...] =
     patterns = {tuple(r["of"]): r["n"] for r in found}
     names = sorted({s for p in patterns for s in p}, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    sizes = {s: sum(n for p, n in patterns.items() if s in p) for s in names} if any(len(p) > 1 for p in patterns) else {
-        p[0]: n for p, n in patterns.items()}
+    sizes = dict.fromkeys(names, 0)
+    for p, n in patterns.items():
+        for s in p:
+            sizes[s] += n
     quota = targets(sizes, weight, total_share * sum(patterns.values()), max_repeats)
     flow = plan_flow({p: float(n) for p, n in patterns.items()}, quota, max_repeats)
-    plan = []
+    rows = []
     for r in found:
         p, n = tuple(r["of"]), r["n"]
         words = min(sum(flow.get(p, {}).values()), float(max_repeats * n))
         whole = int(words // n) if n else 0
         first = min(p, key=lambda s: (s is None, s or ""))
-        plan.append((r["_p"], first, sizes[first], float(quota[first]), whole, int(round(words - whole * n))))
-    table = spark.createDataFrame(plan, "_p string, source string, source_size bigint, target double, _whole int, _q bigint")
-    few = len(plan) <= 100_000
-    chosen = _choose(held, table, few)
-    out = chosen.join(F.broadcast(table.drop("_q")) if few else table.drop("_q"), "_p", "left")
-    repeats = F.col("_whole") + F.col("_extra")
-    return out.select("doc_id", F.col("_size").alias("size"), "source", "source_size", "target", repeats.cast("int").alias("repeats"),
-                      (F.col("_size") * repeats).cast("bigint").alias("taken"))
+        rows.append((r["_p"], first, sizes[first], float(quota[first]), whole, int(round(words - whole * n))))
+    made = spark.createDataFrame(rows, "_p string, source string, source_size bigint, target double, _whole int, _q bigint")
+    few = len(rows) <= 100_000
+    return cut_lineage(made.join(_cut_points(held, made, few), "_p").drop("_q")), few
+
+
+def _repeats() -> Column:
+    extra = (F.col("_u") < F.col("_from")) | F.coalesce(F.col("_u") == F.col("_best"), F.lit(False))
+    return (F.col("_whole") + F.when(extra & (F.col("_size") > 0), 1).otherwise(0)).cast("int")
+
+
+def mix(docs: DataFrame, total_share: float = 1.5, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = 2, seed: int = 7,
+        doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """(doc_id, size, source, source_size, target, repeats, taken), a row for each document.
+
+    ``source`` is a string column, or an array of strings for documents of several sources; source, source_size and
+    target are then those of its first source in order. The weights go round the sources in code point order, null last.
+    """
+    held = cut_lineage(docs.select(F.col(doc_id).alias("doc_id"), *_seeded(docs, doc_id, text, source, seed)))
+    plan, few = _plan(held, total_share, weights, max_repeats)
+    out = held.join(F.broadcast(plan) if few else plan, "_p")
+    return out.select("doc_id", F.col("_size").alias("size"), "source", "source_size", "target", _repeats().alias("repeats"),
+                      (F.col("_size") * _repeats()).cast("bigint").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, total_share: float = 1.5, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = 2, seed: int = 7,
+                    doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The documents' own rows, each as often as the mix takes it."""
+    own = _seeded(docs, doc_id, text, source, seed)
+    plan, few = _plan(cut_lineage(docs.select(*own)), total_share, weights, max_repeats)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *own)
+    out = rows.join(F.broadcast(plan) if few else plan, "_p").where(_repeats() > 0)
+    return out.select(F.explode(F.array_repeat("_row", _repeats())).alias("_row")).select("_row.*")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, html_main, language_id, mixing, pseudonyms, substring_dedup, token_store, url_rules, winnowing
+from marketlens.llm import (decontaminate, html_main, language_id, mixing, pseudonyms, similarity_join, substring_dedup, token_store,
+                            url_rules, winnowing)
 
 # The rules (host, path, action) that op6 judges by.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
@@ -75,10 +76,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, known).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under links of 85 percent of 4-word shingles."""
+    return similarity_join.similar_groups(_table(spark, sf_dir, "documents"), 4, 85)
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return winnowing.next_document_report(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_pseudonyms, op3_decontaminate, op4_mix, op5_substring_dedup, op6_url_filter, op7_token_store,
-                                   op8_language_id, op10_winnowing)}
+                                   op8_language_id, op9_similarity_join, op10_winnowing)}

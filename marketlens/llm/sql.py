@@ -50,4 +50,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-SQL = {"op5_substring_dedup": OP5, "op3_decontaminate": OP3, "op6_url_filter": OP6}
+OP9 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 3), ' ') AS s
+         FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_common FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * n_common >= 85 * (x.n + y.n - n_common)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, min(reach.b)) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN reach ON w.doc_id = reach.a GROUP BY w.doc_id
+"""
+
+SQL = {"op9_similarity_join": OP9, "op5_substring_dedup": OP5, "op3_decontaminate": OP3, "op6_url_filter": OP6}
