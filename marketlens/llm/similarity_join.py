@@ -45,7 +45,7 @@ from marketlens.llm.textops import lower_ascii, mix64, utf8, window_hashes, word
 
 WORDS, PERCENT = 5, 80
 #: Sets of a block; a task holds two blocks at most. Bytes of sets that a task should get if its groups are small.
-BLOCK, TASK_BYTES = 256, 8 << 20
+BLOCK, TASK_BYTES = 256, 2 << 20
 #: Light sets have at most this many elements whatever the costs.
 LIGHT = 32
 
