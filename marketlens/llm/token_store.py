@@ -16,7 +16,9 @@ Other columns are not read. Texts are encoded whole.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import unicodedata
 import uuid
 from collections.abc import Sequence
 
@@ -37,35 +39,96 @@ KNOWN_WORDS = 1_000_000
 LEVEL = 3
 
 
+#: Words encoded by one call of the tokenizer.
+TOGETHER = 256
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+
+
+def splits_at_blanks(tool, rest: dict) -> bool:
+    """Whether a text's ids are those of its lower-cased words in order, and a word's those of its body and of the
+    marks at its end: the tokenizer lower-cases, drops blanks, and keeps letters and marks apart."""
+    ids = lambda t: tool.encode(t, add_special_tokens=False).ids
+    body, marks = ids("ab"), [m.decode() for m in (_MARKS[i:i + 1] for i in range(len(_MARKS)))]
+    return "Lowercase" in json.dumps(rest.get("normalizer")) and all(ids(f"AB{m}") == body + ids(m) for m in marks) and all(
+        ids(f"ab{m}{k}\t{m} 1ab") == body + ids(m + k) + ids(m) + ids("1ab") for m in marks for k in marks)
+
+
+def _body(word: bytes) -> bytes:
+    """A word without the marks at its end, if what precedes them is a letter or digit."""
+    body = word.rstrip(_MARKS)
+    if not body or body[-1] < 128:
+        return body if body[-1:].isalnum() or not body else word
+    return body if unicodedata.normalize("NFC", body.decode("utf-8")[-1]).lower().isalpha() else word
+
+
 class _Words(dict):
-    """word -> packed ids. ASCII blanks separate the tokenizer's words whatever stands around them,
-    so a text's ids are its words' ids in order."""
+    """word -> packed ids, filled as words come. Words that differ in the marks at their end share their body's ids;
+    bodies of letters are encoded many at a time and told apart by the ids that end a word."""
 
-    def __init__(self, tokenizer: str, width: str):
+    def __init__(self, source: str, width: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         super().__init__()
-        self.tool, self.width = Tokenizer.from_str(tokenizer), width
+        self.tool, self.width, self.parts = Tokenizer.from_str(source), width, {b"": b""}
+        rest = json.loads(source)
+        self.apart = splits_at_blanks(self.tool, rest)
+        suffix = rest.get("model", {}).get("end_of_word_suffix")
+        vocabulary = self.tool.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+
+    def pack(self, ids) -> bytes:
+        return np.array(ids, self.width).tobytes()
+
+    def _encode(self, parts: list[bytes]) -> None:
+        texts = [p.decode("utf-8") for p in parts]
+        single = []
+        letters = [(p, t) for p, t in zip(parts, texts, strict=True) if t.isalpha()]
+        for i in range(0, len(letters), TOGETHER):
+            own = letters[i:i + TOGETHER]
+            ids = np.array(self.tool.encode_batch_fast([" ".join(t for _, t in own)], add_special_tokens=False)[0].ids, np.int64)
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(own) or (len(last) and last[-1] != len(ids)):
+                single += own                                # a body of several of the tokenizer's words
+                continue
+            raw, size = self.pack(ids), np.dtype(self.width).itemsize
+            a = 0
+            for (p, _), b in zip(own, (last * size).tolist(), strict=True):
+                self.parts[p] = raw[a:b]
+                a = b
+        single += [(p, t) for p, t in zip(parts, texts, strict=True) if not t.isalpha()]
+        for (p, _), e in zip(single, self.tool.encode_batch_fast([t for _, t in single], add_special_tokens=False), strict=True):
+            self.parts[p] = self.pack(e.ids)
 
     def learn(self, words: list[bytes]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self]
-        if len(self) + len(new) > KNOWN_WORDS:
+        if len(self) > KNOWN_WORDS:
             self.clear()
-            new = list(dict.fromkeys(words))
-        for w, e in zip(new, self.tool.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False),
-                        strict=True):
-            self[w] = np.array(e.ids, self.width).tobytes()
+            self.parts = {b"": b""}
+        new = [(w, _body(w)) for w in dict.fromkeys(words) if w not in self]
+        need = dict.fromkeys(x for w, body in new for x in (body, w[len(body):]))
+        self._encode([x for x in need if x not in self.parts])
+        for w, body in new:
+            self[w] = self.parts[body] + self.parts[w[len(body):]]
 
 
 def _encoder(tokenizer, width: str, end_id: int):
-    """A function from a list of texts to their packed ids."""
-    words = _Words(tokenizer.value, width)
+    """A function from a list of texts to their packed ids. Texts that may spell a special token are encoded whole."""
+    import tokenizers
+    # the words that earlier tasks of this Python process have met
+    held = tokenizers.__dict__.setdefault("_words_met", {})
+    words = held.get((tokenizer.value, width)) or held.setdefault((tokenizer.value, width), _Words(tokenizer.value, width))
     end = np.array([end_id], width).tobytes()
+    special = [t.encode("utf-8") for t in {a.content for a in words.tool.get_added_tokens_decoder().values()}]
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode("utf-8").split() for t in texts]
         out = []
-        for own in split:
+        for t in texts:
+            raw = (t or "").encode("utf-8").lower()
+            if not words.apart or any(s.lower() in raw for s in special):
+                out.append(words.pack(words.tool.encode(t or "", add_special_tokens=False).ids) + end)
+                continue
+            own = raw.split()
             try:
                 out.append(b"".join(map(words.__getitem__, own)) + end)
             except KeyError:
@@ -121,7 +184,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
                 [pa.array(np.searchsorted(cuts, key, side="left"), pa.int32()), ids, pa.array([len(p) // size for p in packed], pa.int64()),
                  pa.array([tool.compress(p) for p in packed], pa.binary())], ["bucket", "id", "n", "payload"])
 
-    coded = rows.mapInArrow(compress, "bucket int, id bigint, n bigint, payload binary").repartition(len(cuts) + 1, "bucket") \
+    coded = rows.mapInArrow(compress, "bucket int, id bigint, n bigint, payload binary").repartitionById(len(cuts) + 1, "bucket") \
         .sortWithinPartitions("bucket", F.col("id").asc_nulls_first(), "n", "payload")
     schema = T.StructType.fromDDL("bucket int, shard int, before bigint, n_tokens bigint, first_id bigint, last_id bigint, sha256 string, "
                                   "ids array<bigint>, counts array<bigint>, offsets array<bigint>, payload binary")

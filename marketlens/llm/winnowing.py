@@ -135,7 +135,7 @@ def next_document_report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW
                 [pa.array([*ranks, *(host_of[ranks[k]] for k in guest)], pa.int32()), pa.array([0] * len(ids) + [1] * len(guest), pa.int32()),
                  b.column(0).take(take), b.column(1).take(take)], ["bucket", "guest", "id", "text"])
 
-    dealt = rows.mapInArrow(deal, "bucket int, guest int, id bigint, text string").repartition(max(1, len(order)), "bucket") \
+    dealt = rows.mapInArrow(deal, "bucket int, guest int, id bigint, text string").repartitionById(len(bounds) + 1, "bucket") \
         .sortWithinPartitions("bucket", "guest", F.col("id").desc_nulls_last(), "text")
 
     def report(batches):
