@@ -35,7 +35,7 @@ from marketlens.llm.ranges import range_bounds, text_bytes
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1_000, 16_384, 64 << 10
 RANGE_BYTES, SHARD_BYTES, SHARD_DOCUMENTS = 64 << 20, 4 << 20, 8_192
 #: Words kept with their ids in a task; beyond that it starts anew.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 600_000
 LEVEL = 3
 
 
