@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm.textops import slices
+
 #: Lower-case A-Z, blank out the other ASCII bytes that are no word characters.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
                for b in range(256))
@@ -92,7 +94,7 @@ def _search(block):
 
     def run(batches):
         patterns, tables = block.value
-        for batch in batches:
+        for batch in slices(batches):
             cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             words, spans, items = [], [], []
             for text, old, known in zip(cols["_text"].to_pylist(), cols["_spans"].to_pylist(),

@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm.textops import slices
+
 DIMENSIONS = 512
 SEED = 20_011
-#: Code points handled together, and texts per matrix product.
-BLOCK, ROWS = 1 << 21, 64
+#: Code points handled together, texts and trigrams per matrix product.
+BLOCK, ROWS, CODES = 1 << 20, 64, 1 << 13
 
 
 def _letters() -> np.ndarray:
@@ -83,7 +85,7 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
 
     def bundle(batches):
         letters, sums = _letters(), {}
-        for batch in batches:
+        for batch in slices(batches):
             for langs, rows in _blocks(batch):
                 by: dict[str, list[str]] = {}
                 for name, t in zip(langs.to_pylist(), rows, strict=True):
@@ -92,8 +94,8 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
                     used, _, tri, m = _trigrams(texts, letters)
                     codes, counts = _counted(tri, m)
                     own = sums.setdefault(name, np.zeros(size))
-                    for i in range(0, len(codes), 1 << 14):
-                        own += counts[i:i + (1 << 14)].astype(np.float64) @ _vectors(codes[i:i + (1 << 14)], m, used, size, seed)
+                    for i in range(0, len(codes), CODES):
+                        own += counts[i:i + (CODES)].astype(np.float64) @ _vectors(codes[i:i + (CODES)], m, used, size, seed)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([np.rint(v).astype(np.int64) for v in sums.values()],
                                                                              pa.list_(pa.int64()))], ["lang", "v"])
@@ -141,7 +143,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
         letters = _letters()
         known = np.array([prototypes[n] for n in names], np.float64)
         known = (known / np.linalg.norm(known, axis=1, keepdims=True)).T if names else known
-        for batch in batches:
+        for batch in slices(batches):
             for ids, rows in _blocks(batch):
                 pred, score = ["und"] * len(rows), np.zeros(len(rows))
                 used, doc, tri, m = _trigrams([t or "" for t in rows], letters)
@@ -157,8 +159,8 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                         bundles = np.zeros((n, size))
                         where = (doc[edges[k]:edges[k + 1]] - k * ROWS) * len(active) + at
                         counts = np.bincount(where, minlength=n * len(active)).reshape(n, len(active)).astype(np.float32)
-                        for i in range(0, len(active), 1 << 14):
-                            bundles += counts[:, i:i + (1 << 14)] @ _vectors(codes[active[i:i + (1 << 14)]], m, used, size, seed)
+                        for i in range(0, len(active), CODES):
+                            bundles += counts[:, i:i + (CODES)] @ _vectors(codes[active[i:i + (CODES)]], m, used, size, seed)
                         norm = np.linalg.norm(bundles, axis=1)
                         cos = bundles @ known / np.where(norm > 0, norm, 1)[:, None]
                         best = cos.argmax(axis=1)

@@ -130,3 +130,10 @@ def window_hashes(h: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray
             out += h[k:k + n] * m
             m = m * np.uint64(0xD6E8FEB86659FD93)
     return ok, mix64(out[ok] + _STEP)
+
+
+def slices(batches, rows: int = 1_000):
+    """The batches in runs of at most so many rows, so that a run's Python copies stay small."""
+    for b in batches:
+        for i in range(0, len(b), rows):
+            yield b.slice(i, rows)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.llm.ranges import range_bounds, text_bytes
+from marketlens.llm.textops import slices
 
 #: The dictionary is trained on this many documents (those of the least hashes), this much of each, at most.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1_000, 16_384, 64 << 10
@@ -114,10 +115,7 @@ class _Words(dict):
 
 def _encoder(tokenizer, width: str, end_id: int):
     """A function from a list of texts to their packed ids. Texts that may spell a special token are encoded whole."""
-    import tokenizers
-    # the words that earlier tasks of this Python process have met
-    held = tokenizers.__dict__.setdefault("_words_met", {})
-    words = held.get((tokenizer.value, width)) or held.setdefault((tokenizer.value, width), _Words(tokenizer.value, width))
+    words = _Words(tokenizer.value, width)
     end = np.array([end_id], width).tobytes()
     special = [t.encode("utf-8") for t in {a.content for a in words.tool.get_added_tokens_decoder().values()}]
 
@@ -159,7 +157,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
 
     def plain(batches):
         encode = _encoder(tokenizer, width, end_id)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array(encode(b.column(0).to_pylist()), pa.binary())], ["ids"])
 
     sample = rows.where(F.length("text") > 0).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCUMENTS)
@@ -177,7 +175,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
         tool = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared.value) if shared.value else None,
                                         write_checksum=False)
         size = np.dtype(width).itemsize
-        for b in batches:
+        for b in slices(batches):
             ids, packed = b.column(0), encode(b.column(1).to_pylist())
             key = np.array([x if x is not None else -1 << 63 for x in ids.to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays(

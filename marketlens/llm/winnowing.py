@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.ranges import bucket_of, range_bounds, text_bytes
+from marketlens.llm.textops import slices
 
 GRAM, WINDOW = 16, 64
 #: Text bytes of one range of documents; a range's texts pass through a task in order, one at a time.
@@ -140,7 +141,7 @@ def next_document_report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW
 
     def report(batches):
         held = None
-        for b in batches:
+        for b in slices(batches):
             out: dict[str, list] = {k: [] for k in ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                                                     "near_edited", "near_next")}
             for bucket, guest, i, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
