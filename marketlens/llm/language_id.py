@@ -95,7 +95,7 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
                     codes, counts = _counted(tri, m)
                     own = sums.setdefault(name, np.zeros(size))
                     for i in range(0, len(codes), CODES):
-                        own += counts[i:i + (CODES)].astype(np.float64) @ _vectors(codes[i:i + (CODES)], m, used, size, seed)
+                        own += counts[i:i + CODES].astype(np.float64) @ _vectors(codes[i:i + CODES], m, used, size, seed)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([np.rint(v).astype(np.int64) for v in sums.values()],
                                                                              pa.list_(pa.int64()))], ["lang", "v"])
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                         where = (doc[edges[k]:edges[k + 1]] - k * ROWS) * len(active) + at
                         counts = np.bincount(where, minlength=n * len(active)).reshape(n, len(active)).astype(np.float32)
                         for i in range(0, len(active), CODES):
-                            bundles += counts[:, i:i + (CODES)] @ _vectors(codes[active[i:i + (CODES)]], m, used, size, seed)
+                            bundles += counts[:, i:i + CODES] @ _vectors(codes[active[i:i + CODES]], m, used, size, seed)
                         norm = np.linalg.norm(bundles, axis=1)
                         cos = bundles @ known / np.where(norm > 0, norm, 1)[:, None]
                         best = cos.argmax(axis=1)
