@@ -19,15 +19,20 @@ BROADCAST_IDS = 4_000_000
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct(*docs.columns).alias("row"), "text", "lang")
+    """(row, text): the other columns as one, and the text."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "text")
+
+
+def _rows(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    return kept.select("doc_id.*", "text").select(*docs.columns)
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which no language is found: no text, no letter, or no likeness to any language. The
     languages are learned from the documents that have one."""
     known = language_id.collect_prototypes(language_id.learn_prototypes(docs))
-    judged = language_id.identify(_with_row(docs), known, doc_id="row")
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") > 0)).select("doc_id.*")
+    judged = language_id.identify(_with_row(docs), known, doc_id="row", keep_text=True)
+    return _rows(judged.where((F.col("lang_pred") != "und") & (F.col("score") > 0)), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +52,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents with a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_leaks(_with_row(docs), benchmark, doc_id="row")
-    return found.where(F.size("items") == 0).select("doc_id.*")
+    found = decontaminate.find_leaks(_with_row(docs), benchmark, doc_id="row", keep_text=True)
+    return _rows(found.where(F.size("items") == 0), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.ranges import text_bytes
+from marketlens.llm.textops import give_back
 
 #: Text bytes of a chunk, and about how many hashes a counting task gets.
 CHUNK_BYTES, PART_HASHES = 8 << 20, 2_000_000
@@ -72,6 +73,7 @@ def pieces(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
                 out_chunk.append(int(chunk[order[i]]))
                 out.append(sink.getvalue().to_pybytes())
             yield pa.RecordBatch.from_arrays([pa.array(out_chunk, pa.int32()), pa.array(out, pa.binary())], ["chunk", "piece"])
+        give_back()
 
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.select(chunk_of("id", n).alias("chunk"), "id", "text").mapInArrow(pack, "chunk int, piece binary")
@@ -135,6 +137,7 @@ def list_rows(p: Plan, chunk: int, short: np.ndarray, counts: np.ndarray | None
 def as_table(rows: list[tuple], ddl: str) -> pa.Table:
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64())}
     fields = [f.split() for f in ddl.split(", ")]
+    give_back()
     cols = list(zip(*rows, strict=True)) if rows else [[]] * len(fields)
     return pa.table([pa.array(list(c), kinds[k]) for c, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
 

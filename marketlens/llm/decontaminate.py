@@ -135,8 +135,8 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, size: int, limit: int
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text",
-               item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, spans, items): the hit word spans [start, end) and the ids of the items found.
+               item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, keep_text: bool = False) -> DataFrame:
+    """(doc_id, n_words, spans, items): the hit word spans [start, end) and the ids of the items found; keep_text adds the text.
 
     The benchmark goes through the driver in blocks of ``block_bytes``; each
     block is one narrow step over the documents, so nothing is shuffled and no
@@ -149,7 +149,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id:
     for table in _blocks(benchmark, item_id, item_text, window, block_bytes):
         state = state.mapInArrow(_search(spark.sparkContext.broadcast(table)), schema)
     return state.select(F.col("_id").alias("doc_id"), F.col("_words").alias("n_words"), F.col("_spans").alias("spans"),
-                        F.col("_items").alias("items"))
+                        F.col("_items").alias("items"), *([F.col("_text").alias("text")] if keep_text else []))
 
 
 def leak_report(found: DataFrame) -> DataFrame:

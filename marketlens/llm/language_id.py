@@ -133,9 +133,10 @@ def collect_prototypes(table: DataFrame) -> dict[str, list[float]]:
     return {k: [float(v[i]) for i in range(len(v))] for k, v in sorted(found.items()) if any(v.values())}
 
 
-def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
+def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str = "doc_id", text: str = "text", seed: int = SEED,
+             keep_text: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score): the language of the highest cosine, and that cosine (0 if negative). A narrow step;
-    doc_id may be a column of any type, such as a struct of the whole row."""
+    doc_id may be a column of any type, such as a struct of the row's other columns; keep_text adds the text."""
     names = sorted(prototypes)
     size = len(next(iter(prototypes.values()), []))
 
@@ -168,8 +169,9 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                         has[np.unique(doc[edges[k]:edges[k + 1]] - k * ROWS)] = True
                         for i in np.flatnonzero(has):
                             pred[k * ROWS + i], score[k * ROWS + i] = names[best[i]], min(max(cos[i, best[i]], 0.0), 1.0)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(pred), pa.array(score)], ["doc_id", "lang_pred", "score"])
+                own = [pa.array(rows, pa.string())] if keep_text else []
+                yield pa.RecordBatch.from_arrays([ids, pa.array(pred), pa.array(score), *own], ["doc_id", "lang_pred", "score", "text"][:3 + len(own)])
 
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(judge, f"doc_id {kind}, lang_pred string, score double")
+    return rows.mapInArrow(judge, f"doc_id {kind}, lang_pred string, score double" + ", text string" * keep_text)

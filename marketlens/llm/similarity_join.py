@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.chunks import (CHUNK_BYTES, LISTS, NO_ID, PART_HASHES, answers, as_table, chunk_of, count_across, distinct,
                                    list_rows, pieces, plan, unpack)
 from marketlens.llm.components import components
-from marketlens.llm.textops import lower_ascii, mix64, utf8, window_hashes, words
+from marketlens.llm.textops import give_back, lower_ascii, mix64, utf8, window_hashes, words
 
 WORDS, PERCENT = 5, 80
 #: Sets of a block; a task holds two blocks at most. Bytes of sets that a task should get if its groups are small.
@@ -104,6 +104,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends), pa.int64()), pa.array(set_names(ends, hashes), pa.binary())],
                                                  ["id", "n", "name"])
                 start = end
+        give_back()
 
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "id bigint, n bigint, name binary")

@@ -8,6 +8,8 @@ making Python strings.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -132,8 +134,17 @@ def window_hashes(h: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray
     return ok, mix64(out[ok] + _STEP)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python processes wait for further tasks, and what they hold counts."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches, rows: int = 1_000):
     """The batches in runs of at most so many rows, so that a run's Python copies stay small."""
     for b in batches:
         for i in range(0, len(b), rows):
             yield b.slice(i, rows)
+    give_back()
