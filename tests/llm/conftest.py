@@ -1,0 +1,14 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from marketlens.session import checkpoint_dir, get_session
+    s = get_session("local[*]", 4)
+    checkpoint_dir(s)
+    return s
