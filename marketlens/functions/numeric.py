@@ -88,7 +88,7 @@ def equal_width_bin(x, lo, hi, bins: int = 20) -> Column:
     an all-equal group gets the middle label like pandas."""
     width = hi - lo
     raw = F.greatest(F.ceil(F.try_divide(_c(x) - lo, width) * F.lit(bins)) - 1, F.lit(0))
-    return F.when(width == 0, F.lit(bins // 2 - 1)).otherwise(raw).cast("bigint")
+    return F.when(width == 0, F.lit((bins - 1) // 2)).otherwise(raw).cast("bigint")
 
 
 def money_sum(x, scale: int = 2) -> Column:

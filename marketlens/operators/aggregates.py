@@ -31,10 +31,15 @@ def conditional_count_pivot(df: DataFrame, key: str, col: str, values: Sequence,
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence, distinct_of: str | None = None,
-             prefix: str = "") -> DataFrame:                                   # A-04
-    """group + size (or nunique) + unstack with zero fill; pivot values listed."""
+             prefix: str = "", other: str | None = None) -> DataFrame:         # A-04
+    """group + size (or nunique) + unstack with zero fill; pivot values listed.
+    ``other`` names a column that counts the rows of all values not listed."""
+    if distinct_of is None:
+        listed = F.coalesce(F.col(col).isin(list(values)), F.lit(False))
+        counts = [F.count_if(F.col(col) == F.lit(v)).cast("bigint").alias(f"{prefix}{v}") for v in values]
+        return df.groupBy(row).agg(*counts, *([F.count_if(~listed).cast("bigint").alias(other)] if other else []))
     g = df.groupBy(row).pivot(col, list(values))
-    out = g.agg(F.count_distinct(distinct_of)) if distinct_of else g.count()
+    out = g.agg(F.count_distinct(distinct_of))
     out = out.fillna(0)
     return out.select(row, *[F.col(str(v)).cast("bigint").alias(f"{prefix}{v}") for v in values])
 

@@ -96,23 +96,20 @@ def fuzzy_top_k(queries: DataFrame, q_col: str, candidates: DataFrame, c_col: st
                 k: int = 5, min_score: int = 50, block: Sequence[str] = ()) -> DataFrame:  # J-10
     """Best k candidates with score >= min_score per query value.
 
-    No cross product: a score >= s needs edit distance <= (1 - s/100) * max_len,
-    and the length gap is a lower bound of the distance, so each query value is
-    expanded to the candidate lengths it can still reach and equi-joined on
+    No cross product: a score >= s (a rounded value, so s - 0.5 before rounding)
+    needs edit distance <= (1 - s/100) * max_len, and the length gap is a lower
+    bound of the distance, so each query length reaches only some candidate
+    lengths. The reachable pairs of lengths (a small table) make an equi-join on
     (block keys, length). The pruning is exact: no pair that can reach the
-    threshold is skipped.
+    threshold is skipped, and a threshold of 0 or less reaches all lengths.
     """
-    q = queries.select(*block, F.col(q_col).alias("_q")).distinct()
-    c = candidates.select(*block, F.col(c_col).alias("_c")).distinct().withColumn(
-        "_len", F.length("_c"))
-    frac = 1.0 - min_score / 100.0
-    lq = F.length("_q")
-    # |la - lb| <= frac * max(la, lb)  =>  lb in [la * (1 - frac), la / (1 - frac)]
-    lo = F.floor(lq * F.lit(1.0 - frac)).cast("int")
-    hi = (F.ceil(lq / F.lit(max(1.0 - frac, 1e-9))).cast("int") if frac < 1.0
-          else lq + F.lit(10_000))
-    q = q.withColumn("_len", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi)))
-    pairs = q.join(c, [*block, "_len"], "inner").drop("_len")
+    q = queries.select(*block, F.col(q_col).alias("_q"), F.length(q_col).alias("_lq")).distinct()
+    c = candidates.select(*block, F.col(c_col).alias("_c"), F.length(c_col).alias("_len")).distinct()
+    need = (min_score - 0.5) / 100.0 - 1e-9
+    lq, lc = q.select(*block, "_lq").distinct(), c.select(*block, "_len").distinct()
+    both = lq.join(lc, list(block)) if block else lq.crossJoin(lc)          # lengths only
+    reach = both.where(F.least("_lq", "_len") >= F.lit(need) * F.greatest("_lq", "_len"))
+    pairs = q.join(reach, [*block, "_lq"]).join(c, [*block, "_len"]).drop("_len", "_lq")
     scored = pairs.withColumn("score", fuzzy_ratio(F.col("_q"), F.col("_c"))).where(
         F.col("score") >= min_score)
     w = Window.partitionBy(*block, "_q").orderBy(F.desc("score"), F.asc("_c"))

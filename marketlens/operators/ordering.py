@@ -49,7 +49,7 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 def key_sets(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:  # T-07
     """(keys in both, keys only in a), on distinct keys."""
     da, db = a.select(*keys).distinct(), b.select(*keys).distinct()
-    return da.intersect(db), da.exceptAll(db)
+    return da.intersect(db), da.join(db, list(keys), "left_anti")
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:               # T-08

@@ -57,12 +57,14 @@ def min_max_scaled(df: DataFrame, col: str, out: str, invert: bool = False) -> D
 
 
 def equal_width_bins(df: DataFrame, keys: Sequence[str], col: str, bins: int = 20,
-                     out: str = "bin") -> DataFrame:                            # W-08
+                     out: str = "bin", few_groups: bool = False) -> DataFrame:  # W-08
     """Per-group pd.cut(x, bins) labels 0..bins-1 with group min/max from an
-    aggregate joined back (a hash join on the group key, not a sort window)."""
+    aggregate joined back (a hash join on the group key, not a sort window).
+    ``few_groups``: the keys come from a fixed short list, so the aggregate is
+    broadcast and the rows aren't shuffled by a handful of keys."""
     from marketlens.functions.numeric import equal_width_bin
     mm = df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    return (df.join(mm, list(keys)) if keys else df.crossJoin(F.broadcast(mm))).withColumn(
+    return (df.join(F.broadcast(mm) if few_groups else mm, list(keys)) if keys else df.crossJoin(F.broadcast(mm))).withColumn(
         out, equal_width_bin(F.col(col), F.col("_lo"), F.col("_hi"), bins)).drop("_lo", "_hi")
 
 

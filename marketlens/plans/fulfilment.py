@@ -9,8 +9,6 @@ deliveries only: ``select_deliveries`` bounds them to n_vehicles x capacity
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -65,13 +63,13 @@ def delivery_deadlines(t: Tables, date: str = PLAN_DATE) -> DataFrame:
 
 def priority_score(t: Tables, date: str = PLAN_DATE, weights: dict | None = None) -> DataFrame:  # O-04
     """Weighted sum of late probability, inverted days-till-due, inverted ship
-    time and profit, each min-max scaled over the candidates. A product with no
+    time and profit, each min-max scaled over the warehouse's candidates. A product with no
     late history scores null and sorts last (D-16)."""
     w = dict(WEIGHTS, **(weights or {}))
     d = delivery_deadlines(t, date)
-    mm = d.agg(*[f(c).alias(f"_{n}_{c}") for c in ["days_till_scheduled_delivery", "avg_shipping_time", "order_profit"]
+    mm = d.groupBy("warehouse_id").agg(*[f(c).alias(f"_{n}_{c}") for c in ["days_till_scheduled_delivery", "avg_shipping_time", "order_profit"]
                  for n, f in (("lo", F.min), ("hi", F.max))])
-    x = d.crossJoin(F.broadcast(mm))
+    x = d.join(mm, "warehouse_id")
 
     def inv(c):
         return F.try_divide(F.col(f"_hi_{c}") - F.col(c), F.col(f"_hi_{c}") - F.col(f"_lo_{c}"))
@@ -86,28 +84,28 @@ def priority_score(t: Tables, date: str = PLAN_DATE, weights: dict | None = None
 
 def select_deliveries(t: Tables, n_vehicles: int = N_VEHICLES, capacity: int = CAPACITY,
                       date: str = PLAN_DATE) -> DataFrame:                            # O-05
-    """Top n x cap - int(0.1 x n x cap) by score (nulls last; ties by order, item)."""
+    """Each warehouse's top n x cap - int(0.1 x n x cap) by score (nulls last; ties by order, item)."""
     total = n_vehicles * capacity
-    return priority_score(t, date).orderBy(F.desc_nulls_last("priority_score"), "order_id", "order_item_id",
-                                           "product_id", "order_profit").limit(
-        total - int(0.1 * total))
+    w = Window.partitionBy("warehouse_id").orderBy(F.desc_nulls_last("priority_score"), "order_id", "order_item_id", "product_id",
+                                                   "order_profit")
+    s = priority_score(t, date)
+    return s.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= total - int(0.1 * total)).drop("_rank")
 
 
 def attach_coordinates(t: Tables, frame: DataFrame | None = None) -> DataFrame:        # O-09
     g = V.geolocation(t).select(F.col("geolocation_city").alias("order_country"),
                                 F.col("geolocation_lat").alias("latitude"), F.col("geolocation_lng").alias("longitude"))
     f = frame if frame is not None else select_deliveries(t)
-    return f.join(F.broadcast(g), "order_country", "left")  # nation-sized: 25 rows
+    return f.join(g, "order_country", "left")
 
 
 def _assign(t: Tables, order, n_vehicles: int, capacity: int) -> DataFrame:
     s = attach_coordinates(t)
-    w = Window.orderBy(*order)  # bounded: select_deliveries keeps <= n x cap rows
-    i = (F.row_number().over(w) - 1).cast("bigint")
-    s = s.withColumn("row_index", i)
+    w = Window.partitionBy("warehouse_id").orderBy(*order)  # at most n x cap rows each
+    s = s.withColumn("row_index", (F.row_number().over(w) - 1).cast("bigint"))
     v = F.floor(F.col("row_index") / F.lit(capacity)).cast("bigint")
     s = s.withColumn("vehicle", F.when(v < n_vehicles, v))
-    wv = Window.partitionBy("vehicle").orderBy("row_index")
+    wv = Window.partitionBy("warehouse_id", "vehicle").orderBy("row_index")
     return s.withColumn("stop", F.row_number().over(wv).cast("bigint"))
 
 
@@ -121,47 +119,45 @@ def assign_by_region(t: Tables, n_vehicles: int = N_VEHICLES, capacity: int = CA
                        F.col("order_item_id"), F.col("product_id"), F.col("order_profit")], n_vehicles, capacity)
 
 
-def _depot(t: Tables) -> DataFrame:
-    """Warehouse coordinates: the most frequent warehouse of the selected deliveries
-    placed at its own country's coordinates."""
-    s = select_deliveries(t)
-    wh = s.groupBy("warehouse_id").count().orderBy(F.desc("count"), "warehouse_id").limit(1)
-    sup = t.supplier.select(F.col("s_suppkey").alias("warehouse_id"), "s_nationkey")
-    g = V.geolocation(t).select(F.col("geolocation_zip_code_prefix").alias("g_nationkey"),
+def _depots(t: Tables) -> DataFrame:
+    """Each warehouse at its country's coordinates."""
+    sup = t.supplier.select(F.col("s_suppkey").alias("warehouse_id"), F.col("s_nationkey").cast("bigint").alias("_nation"))
+    g = V.geolocation(t).select(F.col("geolocation_zip_code_prefix").cast("bigint").alias("_nation"),
                                 F.col("geolocation_lat").alias("latitude"), F.col("geolocation_lng").alias("longitude"))
-    return wh.join(sup, "warehouse_id").join(F.broadcast(g), F.col("s_nationkey").cast("bigint") == F.col("g_nationkey")).select(
-        "latitude", "longitude")
+    return sup.join(g, "_nation").drop("_nation")
 
 
 def distance_matrix(t: Tables) -> DataFrame:                                          # O-10
-    """Symmetric km table over node 0 = warehouse and nodes 1.. = the selected
+    """Symmetric km table of each warehouse over node 0 = warehouse and nodes 1.. = its selected
     deliveries in FIFO order (both directions, diagonal 0)."""
-    a = assign_fifo(t).select((F.col("row_index") + 1).alias("node"), "latitude", "longitude")
-    nodes = a.unionByName(_depot(t).select(F.lit(WAREHOUSE_NODE).cast("bigint").alias("node"), "latitude", "longitude"))
-    i = nodes.select(F.col("node").alias("i"), F.col("latitude").alias("lat_i"), F.col("longitude").alias("lng_i"))
-    j = nodes.select(F.col("node").alias("j"), F.col("latitude").alias("lat_j"), F.col("longitude").alias("lng_j"))
-    return i.crossJoin(j).select("i", "j", haversine_km("lat_i", "lng_i", "lat_j", "lng_j").alias("km"))
+    a = assign_fifo(t).select("warehouse_id", (F.col("row_index") + 1).alias("node"), "latitude", "longitude")
+    depots = _depots(t).join(a.select("warehouse_id").distinct(), "warehouse_id", "left_semi")
+    nodes = a.unionByName(depots.withColumn("node", F.lit(WAREHOUSE_NODE).cast("bigint")))
+    i = nodes.select("warehouse_id", F.col("node").alias("i"), F.col("latitude").alias("lat_i"), F.col("longitude").alias("lng_i"))
+    j = nodes.select("warehouse_id", F.col("node").alias("j"), F.col("latitude").alias("lat_j"), F.col("longitude").alias("lng_j"))
+    return i.join(j, "warehouse_id").select("warehouse_id", "i", "j", haversine_km("lat_i", "lng_i", "lat_j", "lng_j").alias("km"))
 
 
 def route_distance(t: Tables, by_region: bool = False, include_depot: bool = True) -> DataFrame:  # O-13
-    """Km per vehicle from the stop order: stop-to-stop legs, plus the legs
-    from and back to the depot when ``include_depot`` (D-15)."""
+    """Km per warehouse and vehicle from the stop order: stop-to-stop legs, plus the legs from and
+    back to the depot when ``include_depot`` (D-15); the row of warehouse and vehicle -1 is the total."""
     a = assign_by_region(t) if by_region else assign_fifo(t)
     a = a.where(F.col("vehicle").isNotNull())
-    w = Window.partitionBy("vehicle").orderBy("stop")
+    w = Window.partitionBy("warehouse_id", "vehicle").orderBy("stop")
     legs = a.withColumn("plat", F.lag("latitude").over(w)).withColumn("plng", F.lag("longitude").over(w))
     legs = legs.withColumn("leg", F.coalesce(haversine_km("plat", "plng", "latitude", "longitude"), F.lit(0.0)))
-    per = legs.groupBy("vehicle").agg(F.sum("leg").alias("stops_km"),
-                                      F.min_by(F.struct("latitude", "longitude"), "stop").alias("_first"),
-                                      F.max_by(F.struct("latitude", "longitude"), "stop").alias("_last"),
-                                      F.count(F.lit(1)).alias("n_stops"))
-    if not include_depot:
-        return per.select("vehicle", "n_stops", F.col("stops_km").alias("km"))
-    dep = _depot(t)
-    x = per.crossJoin(F.broadcast(dep))
-    out = haversine_km("latitude", "longitude", "_first.latitude", "_first.longitude")
-    back = haversine_km("_last.latitude", "_last.longitude", "latitude", "longitude")
-    return x.select("vehicle", "n_stops", (F.col("stops_km") + out + back).alias("km"))
+    per = legs.groupBy("warehouse_id", "vehicle").agg(F.sum("leg").alias("km"),
+                                                      F.min_by(F.struct("latitude", "longitude"), "stop").alias("_first"),
+                                                      F.max_by(F.struct("latitude", "longitude"), "stop").alias("_last"),
+                                                      F.count(F.lit(1)).alias("n_stops"))
+    if include_depot:
+        out = haversine_km("latitude", "longitude", "_first.latitude", "_first.longitude")
+        back = haversine_km("_last.latitude", "_last.longitude", "latitude", "longitude")
+        per = per.join(_depots(t), "warehouse_id").withColumn("km", F.col("km") + out + back)
+    per = per.select("warehouse_id", "vehicle", "n_stops", "km")
+    total = per.agg(F.sum("n_stops").alias("n_stops"), F.sum("km").alias("km")).select(
+        F.lit(-1).cast(per.schema["warehouse_id"].dataType).alias("warehouse_id"), F.lit(-1).cast("bigint").alias("vehicle"), "n_stops", "km")
+    return per.unionByName(total)
 
 
 # O-06 / O-07 / O-08 -----------------------------------------------------------
@@ -198,56 +194,6 @@ def locate_cities(t: Tables) -> DataFrame:
         F.col("_c.lat").alias("latitude"), F.col("_c.lng").alias("longitude"))
 
 
-# O-14 / O-15 ------------------------------------------------------------------
-_ROUTE_SCHEMA = "warehouse_id long, vehicle long, stop long, order_id long, order_item_id long, km double"
-
-
-def _greedy(pdf: pd.DataFrame, n_vehicles: int, capacity: int) -> pd.DataFrame:
-    """Cheapest-next-stop routes from the depot under capacity for one block."""
-    lat = np.radians(pdf["latitude"].to_numpy(float))
-    lng = np.radians(pdf["longitude"].to_numpy(float))
-    dlat, dlng = np.radians(float(pdf["depot_lat"].iloc[0])), np.radians(float(pdf["depot_lng"].iloc[0]))
-
-    def hav(a1, o1, a2, o2):
-        a = np.sin((a2 - a1) / 2) ** 2 + np.cos(a1) * np.cos(a2) * np.sin((o2 - o1) / 2) ** 2
-        return 2 * 6371.0 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
-
-    left = np.ones(len(pdf), dtype=bool)
-    rows = []
-    for v in range(n_vehicles):
-        cur = (dlat, dlng)
-        for s in range(capacity):
-            if not left.any():
-                break
-            d = np.where(left, hav(cur[0], cur[1], lat, lng), np.inf)
-            k = int(np.argmin(d))
-            left[k] = False
-            rows.append((int(pdf["warehouse_id"].iloc[0]), v, s + 1, int(pdf["order_id"].iloc[k]),
-                         int(pdf["order_item_id"].iloc[k]), float(d[k])))
-            cur = (lat[k], lng[k])
-    return pd.DataFrame(rows, columns=["warehouse_id", "vehicle", "stop", "order_id", "order_item_id", "km"])
-
-
-def greedy_routes(t: Tables, n_vehicles: int = N_VEHICLES, capacity: int = CAPACITY) -> DataFrame:  # O-14
-    """Per warehouse: greedy nearest-next routes over that warehouse's selected
-    deliveries (bounded by select_deliveries), run as a grouped pandas step."""
-    s = attach_coordinates(t).where(F.col("latitude").isNotNull())
-    sup = t.supplier.select(F.col("s_suppkey").alias("warehouse_id"), "s_nationkey")
-    g = V.geolocation(t).select(F.col("geolocation_zip_code_prefix").alias("g_nationkey"),
-                                F.col("geolocation_lat").alias("depot_lat"), F.col("geolocation_lng").alias("depot_lng"))
-    s = s.join(sup, "warehouse_id").join(F.broadcast(g), F.col("s_nationkey").cast("bigint") == F.col("g_nationkey"))
-    s = s.select("warehouse_id", "order_id", "order_item_id", "latitude", "longitude", "depot_lat", "depot_lng")
-    return s.groupBy("warehouse_id").applyInPandas(lambda p: _greedy(p, n_vehicles, capacity), _ROUTE_SCHEMA)
-
-
-def route_report(t: Tables) -> DataFrame:                                            # O-15
-    r = greedy_routes(t)
-    return r.groupBy("warehouse_id", "vehicle").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("stop", "order_id"))),
-                                 lambda x: x["order_id"].cast("string")), " -> ").alias("route"),
-        F.sum("km").alias("km"), F.count(F.lit(1)).alias("stops"))
-
-
 QUERIES = {
     "o01_late_probability": late_probability,
     "o02_avg_shipping_time": avg_shipping_time,
@@ -262,6 +208,4 @@ QUERIES = {
     "o11_assign_fifo": assign_fifo,
     "o12_assign_by_region": assign_by_region,
     "o13_route_distance": route_distance,
-    "o14_greedy_routes": greedy_routes,
-    "o15_route_report": route_report,
 }

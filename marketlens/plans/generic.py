@@ -38,7 +38,7 @@ def f14_first_per_key(t: Tables) -> DataFrame:
 
 
 def a04_status_priority_crosstab(t: Tables) -> DataFrame:
-    return A.crosstab(t.orders, "o_orderstatus", "o_orderpriority", PRIORITIES, prefix="n_")
+    return A.crosstab(t.orders, "o_orderstatus", "o_orderpriority", PRIORITIES, prefix="n_", other="n_other")
 
 
 def a15_totalprice_histogram(t: Tables) -> DataFrame:

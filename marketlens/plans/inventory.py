@@ -8,8 +8,6 @@ product's days are bounded by the calendar, never by the data volume.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,54 +109,6 @@ def holding_cost_actual(t: Tables, before: str = HOLDING_BEFORE) -> DataFrame:
                     F.sum("holding_cost").over(run).alias("total_holding_cost"))
 
 
-_BACKTEST_SCHEMA = ("product_id long, date date, demand double, inventory_level double, "
-                    "order_placed int, daily_holding_cost double, manufacturing_cost_day double")
-
-
-def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("date")
-    stock = float(pdf["start_stock"].iloc[0])
-    rop, eoq = float(pdf["reorder_point"].iloc[0]), float(pdf["economic_order_quantity"].iloc[0])
-    cost, mc = float(pdf["daily_storage_cost"].iloc[0]), float(pdf["manufacturing_cost"].iloc[0])
-    dem = pdf["total_sold"].to_numpy(dtype=float)
-    n = len(dem)
-    level, hold, placed, mcost = np.empty(n), np.empty(n), np.zeros(n, dtype=np.int32), np.zeros(n)
-    for i in range(n):
-        stock -= dem[i]
-        hold[i] = stock * cost
-        if stock <= rop:
-            stock += eoq
-            placed[i] = 1
-            mcost[i] = eoq * mc
-        level[i] = stock
-    return pd.DataFrame({"product_id": pdf["product_id"].to_numpy(), "date": pdf["date"].to_numpy(),
-                         "demand": dem, "inventory_level": level, "order_placed": placed,
-                         "daily_holding_cost": hold, "manufacturing_cost_day": mcost})
-
-
-def policy_backtest(t: Tables, year: int = FORECAST_YEAR) -> DataFrame:            # I-11
-    """Daily stock under the (EOQ, ROP) rule over the year's demand, per product:
-    stock -= demand; holding = stock x cost; stock <= ROP -> order EOQ."""
-    policy = understocked(t, year).select("product_id", "economic_order_quantity", "reorder_point",
-                                          F.col("current_stock").alias("start_stock"),
-                                          "daily_storage_cost", "manufacturing_cost").dropna()
-    days = B.daily_units(t).where(F.year("date") == year).withColumnRenamed("sold", "total_sold")
-    j = days.join(policy, "product_id")
-    return j.groupBy("product_id").applyInPandas(_fold, _BACKTEST_SCHEMA)
-
-
-def policy_compare(t: Tables, year: int = FORECAST_YEAR) -> DataFrame:             # I-12
-    """Daily holding cost of the existing method and of the policy, each summed
-    per day first and then accumulated (D-14)."""
-    a = holding_cost_actual(t, before=f"{year + 1}-01-01").where(F.year("date") == year).groupBy("date").agg(
-        F.sum("holding_cost").alias("actual_holding"))
-    b = policy_backtest(t, year).groupBy("date").agg(F.sum("daily_holding_cost").alias("policy_holding"))
-    j = a.join(b, "date", "full").fillna(0.0)
-    w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)  # one row per day: small
-    return j.withColumns({"actual_cumulative": F.sum("actual_holding").over(w),
-                          "policy_cumulative": F.sum("policy_holding").over(w)})
-
-
 def monthly_units_by_product(t: Tables, before: str = HOLDING_BEFORE) -> DataFrame:  # I-13
     o = V.order_data(t).where(F.col("order_date") < F.to_timestamp(F.lit(before)))
     return o.groupBy("product_id", F.year("order_date").cast("bigint").alias("order_year"),
@@ -175,7 +125,5 @@ QUERIES = {
     "i08_starting_stock": starting_stock,
     "i09_understocked": understocked,
     "i10_holding_cost_actual": holding_cost_actual,
-    "i11_policy_backtest": policy_backtest,
-    "i12_policy_compare": policy_compare,
     "i13_monthly_units_by_product": monthly_units_by_product,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.numeric import round_half_even
+from marketlens.functions.numeric import money_sum, round_half_even
 from pyspark.sql import Window
 
 from marketlens.functions import dates as X
@@ -45,22 +45,24 @@ def unit_price(t: Tables) -> DataFrame:
 
 
 def _own_rows(t: Tables) -> DataFrame:
-    o = V.order_data(t).where(F.year("order_date").between(*YEARS) & (F.col("sales") <= MAX_PRICE))
+    o = V.order_data(t).where((F.col("order_date") >= F.lit(f"{YEARS[0]}-01-01").cast("timestamp_ntz"))
+                             & (F.col("order_date") < F.lit(f"{YEARS[1] + 1}-01-01").cast("timestamp_ntz"))
+                             & (F.col("sales") <= MAX_PRICE))
     o = o.select(F.col("order_date"), F.col("category_name").alias("product_category"),
                  (F.col("sales") * F.col("discount_rate")).alias("item_discount"), "discount_rate",
                  F.col("order_item_quantity").alias("quantity"), F.col("sales").alias("price_before_discount"),
                  round_half_even(F.try_divide("order_item_total", "order_item_quantity"), 2).alias("final_price"))
-    return equal_width_bins(o, ["product_category"], "price_before_discount", BINS, out="price_bins")
+    return equal_width_bins(o, ["product_category"], "price_before_discount", BINS, out="price_bins", few_groups=True)
 
 
 def price_bin_demand(t: Tables) -> DataFrame:                                        # P-02
     o = _own_rows(t)
     return o.groupBy("order_date", X.month_name("order_date").alias("order_month"), "product_category",
                      "price_bins").agg(
-        F.avg("item_discount").alias("dataco_avg_item_discount"),
-        F.avg("discount_rate").alias("dataco_avg_item_discount_rate"),
-        F.sum("quantity").alias("dataco_demand"),
-        F.avg("price_before_discount").alias("dataco_price_before"),
+        F.try_divide(money_sum("item_discount", 6), F.count("item_discount")).alias("own_avg_item_discount"),
+        F.avg("discount_rate").alias("own_avg_item_discount_rate"),
+        F.sum("quantity").alias("own_demand"),
+        F.avg("price_before_discount").alias("own_price_before"),
         F.avg("final_price").alias("final_price"))
 
 
@@ -73,15 +75,15 @@ def elasticity(t: Tables) -> DataFrame:
     def pct(c):
         prev = F.lag(c, 1).over(w)
         return F.coalesce(F.try_divide(F.col(c) - prev, prev), F.lit(0.0))
-    b = b.withColumns({"discount_change": pct("dataco_avg_item_discount"),
-                       "quantity_change": pct("dataco_demand")})
+    b = b.withColumns({"discount_change": pct("own_avg_item_discount"),
+                       "quantity_change": pct("own_demand")})
     ped = F.coalesce(F.try_divide(F.col("quantity_change"), F.col("discount_change")), F.lit(0.0))
     b = b.withColumn("ped", ped)
     label = F.when(F.abs("ped") > 1, "Elastic").when(F.abs("ped") < 1, "Inelastic").otherwise("N/A")
     fallback = _map(CATEGORY_ELASTICITY)[F.col("product_category")]
     label = F.when((F.col("ped") == 0) | (label == "N/A"), fallback).otherwise(label)
-    return b.select("order_date", "product_category", "price_bins", "dataco_avg_item_discount",
-                    "dataco_avg_item_discount_rate", "dataco_demand", "dataco_price_before", "final_price",
+    return b.select("order_date", "product_category", "price_bins", "own_avg_item_discount",
+                    "own_avg_item_discount_rate", "own_demand", "own_price_before", "final_price",
                     "discount_change", "quantity_change", label.alias("price_elasticity"),
                     X.season_of_day("order_date").alias("seasonality"),
                     X.mm_yyyy("order_date").alias("order_month_key"))
@@ -97,14 +99,14 @@ def market_category_map(t: Tables) -> DataFrame:
 def _market_rows(t: Tables) -> DataFrame:
     m = (V.order_items(t).join(V.orders_basic(t).select("order_id", "order_purchase_timestamp"), "order_id")
          .join(market_category_map(t).select("product_id", "product_category"), "product_id"))
-    return equal_width_bins(m, ["product_category"], "price_before_discount", BINS, out="price_bins")
+    return equal_width_bins(m, ["product_category"], "price_before_discount", BINS, out="price_bins", few_groups=True)
 
 
 def market_price_bins(t: Tables) -> DataFrame:                                      # P-04
     m = _market_rows(t)
     return m.groupBy(F.col("order_purchase_timestamp").alias("order_date"), "product_category", "price_bins").agg(
-        F.sum("order_item_id").alias("olist_product_demand"),
-        F.avg("price_before_discount").alias("olist_price_before_discount"),
+        F.sum("order_item_id").alias("market_product_demand"),
+        F.avg("price_before_discount").alias("market_price_before_discount"),
         F.avg("discount_rate").alias("avg_discount_rate"),
         F.avg("price_after_discount").alias("avg_price_after_discount"))
 
@@ -129,11 +131,11 @@ def merge_market(t: Tables) -> DataFrame:
     e = elasticity(t)
     m = _market_rows(t).groupBy("product_category", X.mm_yyyy("order_purchase_timestamp").alias("order_month_key"),
                                 "price_bins").agg(
-        F.sum("order_item_id").alias("olist_product_demand"),
-        F.avg("price_before_discount").alias("olist_price_before_discount"),
-        F.avg("discount_rate").alias("olist_avg_discount_rate"))
+        F.sum("order_item_id").alias("market_product_demand"),
+        F.avg("price_before_discount").alias("market_price_before_discount"),
+        F.avg("discount_rate").alias("market_avg_discount_rate"))
     j = e.join(m, ["product_category", "order_month_key", "price_bins"], "left")
-    return j.fillna(0, subset=["olist_product_demand", "olist_price_before_discount", "olist_avg_discount_rate"])
+    return j.fillna(0, subset=["market_product_demand", "market_price_before_discount", "market_avg_discount_rate"])
 
 
 def product_month_elasticity(t: Tables, product_name: str = SINGLE_PRODUCT) -> DataFrame:  # P-08

@@ -7,6 +7,8 @@ counts before the shuffle), top-k per n with a window on the small result.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -40,12 +42,12 @@ def review_table(t: Tables) -> DataFrame:
 
 
 def _stop_filter(tokens_col, lang_col):
-    arrays = {lg: F.array(*[F.lit(w) for w in TX.default_stopwords(TX.LANGUAGE_NAMES[lg])]) for lg in LANGS}
-    stop = None
-    for lg, arr in arrays.items():
-        stop = F.when(lang_col == lg, arr) if stop is None else stop.when(lang_col == lg, arr)
-    stop = stop.otherwise(F.array().cast("array<string>"))
-    return F.filter(tokens_col, lambda x: ~F.array_contains(stop, x))
+    """Tokens without the stop words of the review's language; a literal list of this length is looked up by hash."""
+    def stop(x):
+        hits = [(lang_col == lg) & x.isin(*TX.default_stopwords(TX.LANGUAGE_NAMES[lg])) for lg in LANGS]
+        return F.coalesce(functools.reduce(lambda a, b: a | b, hits), F.lit(False))
+
+    return F.filter(tokens_col, lambda x: ~stop(x))
 
 
 def clean_reviews(t: Tables) -> DataFrame:                                           # R-02

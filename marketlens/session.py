@@ -49,12 +49,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
     Read from ``spark.checkpoint.dir`` as the cluster sets it. Only when it is
-    unset (local tests) a private scratch folder is created and registered.
+    unset in a local session (tests) a scratch folder is made and registered;
+    on a cluster a machine's own folder would not do, so that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

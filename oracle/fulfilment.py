@@ -28,26 +28,59 @@ SCORE = f"""
                  + CASE WHEN m.hi_order_profit - m.lo_order_profit = 0 THEN NULL
                         ELSE (d.order_profit - m.lo_order_profit) / (m.hi_order_profit - m.lo_order_profit) END * CAST(0.1 AS DOUBLE)
                  AS priority_score
-     FROM {DEAD} d CROSS JOIN (SELECT min(days_till_scheduled_delivery) AS lo_days_till_scheduled_delivery,
+     FROM {DEAD} d JOIN (SELECT warehouse_id, min(days_till_scheduled_delivery) AS lo_days_till_scheduled_delivery,
                                       max(days_till_scheduled_delivery) AS hi_days_till_scheduled_delivery,
                                       min(avg_shipping_time) AS lo_avg_shipping_time, max(avg_shipping_time) AS hi_avg_shipping_time,
-                                      min(order_profit) AS lo_order_profit, max(order_profit) AS hi_order_profit FROM {DEAD} z) m)"""
+                                      min(order_profit) AS lo_order_profit, max(order_profit) AS hi_order_profit FROM {DEAD} z GROUP BY warehouse_id) m
+       ON d.warehouse_id = m.warehouse_id)"""
 
-SELECTED = f"""(SELECT * FROM {SCORE} s ORDER BY priority_score DESC NULLS LAST, order_id, order_item_id, product_id, order_profit LIMIT 36)"""
+SELECTED = f"""(SELECT * EXCLUDE (place) FROM (
+    SELECT s.*, row_number() OVER (PARTITION BY warehouse_id ORDER BY priority_score DESC NULLS LAST, order_id, order_item_id, product_id,
+                                   order_profit) AS place FROM {SCORE} s) z WHERE place <= 36)"""
 
 COORD = f"""(SELECT s.*, g.geolocation_lat AS latitude, g.geolocation_lng AS longitude
              FROM {SELECTED} s LEFT JOIN v_geo g ON s.order_country = g.geolocation_city)"""
 
 
 def assign(order: str) -> str:
-    return f"""(WITH a AS (SELECT c.*, CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) AS row_index FROM {COORD} c),
+    return f"""(WITH a AS (SELECT c.*, CAST(row_number() OVER (PARTITION BY warehouse_id ORDER BY {order}) - 1 AS BIGINT) AS row_index FROM {COORD} c),
                      b AS (SELECT a.*, CASE WHEN CAST(floor(row_index / 10) AS BIGINT) < 4 THEN CAST(floor(row_index / 10) AS BIGINT) END AS vehicle FROM a)
-                SELECT b.*, CAST(row_number() OVER (PARTITION BY vehicle ORDER BY row_index) AS BIGINT) AS stop FROM b)"""
+                SELECT b.*, CAST(row_number() OVER (PARTITION BY warehouse_id, vehicle ORDER BY row_index) AS BIGINT) AS stop FROM b)"""
 
 
+FIFO = assign("order_date, order_id, order_item_id, product_id, order_profit")
+DEPOT = """(SELECT s_suppkey AS warehouse_id, g.geolocation_lat AS latitude, g.geolocation_lng AS longitude
+            FROM supplier JOIN v_geo g ON CAST(s_nationkey AS BIGINT) = CAST(g.geolocation_zip_code_prefix AS BIGINT))"""
+
+
+def km(a: str, b: str, c: str, d: str) -> str:
+    h = (f"(power(sin((radians({c}) - radians({a})) / 2), 2) + cos(radians({a})) * cos(radians({c})) "
+         f"* power(sin((radians({d}) - radians({b})) / 2), 2))")
+    return f"(2 * 6371.0 * asin(least(1.0, sqrt({h}))))"
+
+
+DISTANCES = f"""
+    (WITH a AS (SELECT warehouse_id, row_index + 1 AS node, latitude, longitude FROM {FIFO} f),
+          n AS (SELECT * FROM a UNION ALL SELECT warehouse_id, 0 AS node, latitude, longitude FROM {DEPOT} d
+                WHERE warehouse_id IN (SELECT warehouse_id FROM a))
+     SELECT i.warehouse_id, CAST(i.node AS BIGINT) AS i, CAST(j.node AS BIGINT) AS j, {km('i.latitude', 'i.longitude', 'j.latitude', 'j.longitude')} AS km
+     FROM n i JOIN n j ON i.warehouse_id = j.warehouse_id)"""
+
+ROUTES = f"""
+    (WITH a AS (SELECT *, lag(latitude) OVER w AS plat, lag(longitude) OVER w AS plng FROM {FIFO} f WHERE vehicle IS NOT NULL
+                WINDOW w AS (PARTITION BY warehouse_id, vehicle ORDER BY stop)),
+          p AS (SELECT warehouse_id, vehicle, count(*) AS n_stops, sum(CASE WHEN plat IS NULL THEN 0 ELSE {km('plat', 'plng', 'latitude', 'longitude')} END) AS legs,
+                       min_by(latitude, stop) AS la1, min_by(longitude, stop) AS lo1, max_by(latitude, stop) AS la2, max_by(longitude, stop) AS lo2
+                FROM a GROUP BY 1, 2),
+          r AS (SELECT p.warehouse_id, p.vehicle, p.n_stops, legs + {km('d.latitude', 'd.longitude', 'la1', 'lo1')}
+                       + {km('la2', 'lo2', 'd.latitude', 'd.longitude')} AS km FROM p JOIN {DEPOT} d ON p.warehouse_id = d.warehouse_id)
+     SELECT * FROM r UNION ALL SELECT -1, -1, CAST(sum(n_stops) AS BIGINT), sum(km) FROM r)"""
+
 _DEAD_D = ["order_profit", "late_delivery_probability", "avg_shipping_time"]
 
 SQL = {
+    "o10_distance_matrix": (f"SELECT * FROM {DISTANCES} x", ["km"]),
+    "o13_route_distance": (f"SELECT * FROM {ROUTES} x", ["km"]),
     "o01_late_probability": (f"SELECT * FROM {LATE} l", ["late_delivery_probability"]),
     "o02_avg_shipping_time": (f"SELECT * FROM {SHIP} s", ["avg_shipping_time"]),
     "o03_delivery_deadlines": (f"SELECT * FROM {DEAD} d", _DEAD_D),

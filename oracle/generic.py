@@ -19,7 +19,8 @@ SQL = {
         WHERE rn = 1""", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
     "a04_status_priority_crosstab": ("SELECT o_orderstatus, " + ", ".join(
         f"CAST(count(*) FILTER (WHERE o_orderpriority = '{p}') AS BIGINT) AS \"n_{p}\"" for p in _PRI)
-        + " FROM orders GROUP BY 1", []),
+        + ", CAST(count(*) FILTER (WHERE o_orderpriority IS NULL OR o_orderpriority NOT IN ("
+        + ", ".join(f"'{p}'" for p in _PRI) + ")) AS BIGINT) AS n_other FROM orders GROUP BY 1", []),
     "a15_totalprice_histogram": ("""
         WITH mm AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
              b AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((o_totalprice - lo) / ((hi - lo) / 20)), 19) END AS BIGINT) AS bin, lo, hi

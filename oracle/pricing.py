@@ -19,8 +19,8 @@ OWN = """(SELECT order_date, category_name AS product_category, sales * discount
           FROM v_order_data WHERE year(order_date) BETWEEN 1998 AND 2000 AND sales <= 60000.0)"""
 
 BIN_DEMAND = f"""(SELECT order_date, {MONTHS.format(c='order_date')} AS order_month, product_category, price_bins,
-                         avg(item_discount) AS dataco_avg_item_discount, avg(discount_rate) AS dataco_avg_item_discount_rate,
-                         sum(quantity) AS dataco_demand, avg(price_before_discount) AS dataco_price_before,
+                         CAST(sum(CAST(item_discount AS DECIMAL(24,6))) AS DOUBLE) / count(item_discount) AS own_avg_item_discount, avg(discount_rate) AS own_avg_item_discount_rate,
+                         sum(quantity) AS own_demand, avg(price_before_discount) AS own_price_before,
                          avg(final_price) AS final_price
                   FROM {bins('price_before_discount', 'product_category', OWN)} b GROUP BY 1, 2, 3, 4)"""
 
@@ -43,13 +43,13 @@ SEASON = ("CASE WHEN month({c}) = 12 AND day({c}) >= 24 THEN 'Holiday - Christma
           "WHEN month({c}) IN (5, 6) THEN 'Seasonal - Summer Sales' ELSE 'Regular' END")
 
 ELAST = f"""
-    (WITH c AS (SELECT b.*, {_pct('dataco_avg_item_discount')} AS discount_change, {_pct('dataco_demand')} AS quantity_change
+    (WITH c AS (SELECT b.*, {_pct('own_avg_item_discount')} AS discount_change, {_pct('own_demand')} AS quantity_change
                 FROM {BIN_DEMAND} b),
           p AS (SELECT c.*, coalesce(CASE WHEN discount_change = 0 THEN NULL ELSE quantity_change / discount_change END,
                                      CAST(0.0 AS DOUBLE)) AS ped FROM c),
           l AS (SELECT p.*, CASE WHEN abs(ped) > 1 THEN 'Elastic' WHEN abs(ped) < 1 THEN 'Inelastic' ELSE 'N/A' END AS lab FROM p)
-     SELECT order_date, product_category, price_bins, dataco_avg_item_discount, dataco_avg_item_discount_rate,
-            dataco_demand, dataco_price_before, final_price, discount_change, quantity_change,
+     SELECT order_date, product_category, price_bins, own_avg_item_discount, own_avg_item_discount_rate,
+            own_demand, own_price_before, final_price, discount_change, quantity_change,
             CASE WHEN ped = 0 OR lab = 'N/A' THEN {ELAST_MAP} ELSE lab END AS price_elasticity,
             {SEASON.format(c='order_date')} AS seasonality, strftime(order_date, '%m-%Y') AS order_month_key
      FROM l)"""
@@ -65,7 +65,7 @@ MARKET = f"""(SELECT i.*, o.order_purchase_timestamp, cm.product_category
 
 MARKET_B = bins("price_before_discount", "product_category", MARKET)
 
-_ELAST_D = ["dataco_avg_item_discount", "dataco_avg_item_discount_rate", "dataco_demand", "dataco_price_before",
+_ELAST_D = ["own_avg_item_discount", "own_avg_item_discount_rate", "own_demand", "own_price_before",
             "final_price", "discount_change", "quantity_change"]
 
 P08 = f"""
@@ -102,19 +102,19 @@ SQL = {
                (round_even((CASE WHEN order_item_quantity = 0 THEN NULL ELSE order_item_total / order_item_quantity END) * 100.0, 0) / 100.0) AS final_price
         FROM v_order_data""", ["order_item_total", "order_item_quantity", "final_price"]),
     "p02_price_bin_demand": (f"SELECT * FROM {BIN_DEMAND} x",
-                             ["dataco_avg_item_discount", "dataco_avg_item_discount_rate", "dataco_demand",
-                              "dataco_price_before", "final_price"]),
+                             ["own_avg_item_discount", "own_avg_item_discount_rate", "own_demand",
+                              "own_price_before", "final_price"]),
     "p03_elasticity": (f"SELECT * FROM {ELAST} x", _ELAST_D),
     "p04_market_price_bins": (f"""
         SELECT order_purchase_timestamp AS order_date, product_category, price_bins,
-               CAST(sum(order_item_id) AS BIGINT) AS olist_product_demand, avg(price_before_discount) AS olist_price_before_discount,
+               CAST(sum(order_item_id) AS BIGINT) AS market_product_demand, avg(price_before_discount) AS market_price_before_discount,
                avg(discount_rate) AS avg_discount_rate, avg(price_after_discount) AS avg_price_after_discount
         FROM {MARKET_B} m GROUP BY 1, 2, 3""",
-        ["olist_price_before_discount", "avg_discount_rate", "avg_price_after_discount"]),
+        ["market_price_before_discount", "avg_discount_rate", "avg_price_after_discount"]),
     "p05_market_category_map": (f"SELECT * FROM {CATMAP} c", []),
     "p06_pricing_features": (f"""
-        SELECT e.order_date, e.price_bins, e.dataco_avg_item_discount, e.dataco_avg_item_discount_rate, e.dataco_demand,
-               e.dataco_price_before, e.final_price, e.discount_change, e.quantity_change, e.order_month_key,
+        SELECT e.order_date, e.price_bins, e.own_avg_item_discount, e.own_avg_item_discount_rate, e.own_demand,
+               e.own_price_before, e.final_price, e.discount_change, e.quantity_change, e.order_month_key,
                CAST(dense_rank() OVER (ORDER BY e.product_category) - 1 AS BIGINT) AS product_category_encoded,
                CAST(seasonality = 'Holiday - Christmas' AS INTEGER) AS "seasonality_Holiday - Christmas",
                CAST(seasonality = 'Holiday - Cyber Monday' AS INTEGER) AS "seasonality_Holiday - Cyber Monday",
@@ -125,14 +125,14 @@ SQL = {
         FROM {ELAST} e""", _ELAST_D),
     "p07_merge_market": (f"""
         WITH m AS (SELECT product_category, strftime(order_purchase_timestamp, '%m-%Y') AS order_month_key, price_bins,
-                          CAST(sum(order_item_id) AS BIGINT) AS olist_product_demand, avg(price_before_discount) AS olist_price_before_discount,
-                          avg(discount_rate) AS olist_avg_discount_rate
+                          CAST(sum(order_item_id) AS BIGINT) AS market_product_demand, avg(price_before_discount) AS market_price_before_discount,
+                          avg(discount_rate) AS market_avg_discount_rate
                    FROM {MARKET_B} mb GROUP BY 1, 2, 3)
-        SELECT e.*, CAST(coalesce(m.olist_product_demand, 0) AS BIGINT) AS olist_product_demand,
-               coalesce(m.olist_price_before_discount, 0) AS olist_price_before_discount,
-               coalesce(m.olist_avg_discount_rate, 0) AS olist_avg_discount_rate
+        SELECT e.*, CAST(coalesce(m.market_product_demand, 0) AS BIGINT) AS market_product_demand,
+               coalesce(m.market_price_before_discount, 0) AS market_price_before_discount,
+               coalesce(m.market_avg_discount_rate, 0) AS market_avg_discount_rate
         FROM {ELAST} e LEFT JOIN m ON e.product_category = m.product_category AND e.order_month_key = m.order_month_key
-          AND e.price_bins = m.price_bins""", _ELAST_D + ["olist_price_before_discount", "olist_avg_discount_rate"]),
+          AND e.price_bins = m.price_bins""", _ELAST_D + ["market_price_before_discount", "market_avg_discount_rate"]),
     "p08_product_month_elasticity": (f"SELECT * FROM {P08} x", _P08_D),
     "p09_market_month_profile": (f"SELECT * FROM {P09} x", ["market_avg_price", "market_avg_discount_rate"]),
     "p10_merge_product_market": (f"""

@@ -70,3 +70,17 @@ def test_histogram_counts_all_rows(spark):
     df = spark.range(101).select((F.col("id") / 100.0).alias("x"))
     h = A.histogram(df, "x", 10).collect()
     assert sum(r["count"] for r in h) == 101 and len(h) == 10
+
+
+def test_equal_width_bin_of_equal_values_is_the_middle_one(spark):
+    from marketlens.functions.numeric import equal_width_bin
+    row = spark.range(1).select(*[equal_width_bin(F.lit(3.0), F.lit(3.0), F.lit(3.0), b).alias(f"b{b}") for b in (4, 5, 20)]).first()
+    assert tuple(row) == (1, 2, 9)
+
+
+def test_fuzzy_threshold_counts_rounded_scores_and_has_no_length_cap(spark):
+    q = spark.createDataFrame([("a" * 399,)], "name string")
+    c = spark.createDataFrame([("a" * 199,), ("a" * 198,), ("b",)], "cand string")
+    assert {len(r["candidate"]) for r in J.fuzzy_top_k(q, "name", c, "cand", k=9, min_score=50).collect()} == {
+        n for n in (199, 198) if round(100 * n / 399) >= 50}
+    assert J.fuzzy_top_k(q, "name", c, "cand", k=9, min_score=0).count() == 3
