@@ -155,7 +155,7 @@ def route_distance(t: Tables, by_region: bool = False, include_depot: bool = Tru
         back = haversine_km("_last.latitude", "_last.longitude", "latitude", "longitude")
         per = per.join(_depots(t), "warehouse_id").withColumn("km", F.col("km") + out + back)
     per = per.select("warehouse_id", "vehicle", "n_stops", "km")
-    total = per.agg(F.sum("n_stops").alias("n_stops"), F.sum("km").alias("km")).select(
+    total = per.agg(F.coalesce(F.sum("n_stops"), F.lit(0)).alias("n_stops"), F.coalesce(F.sum("km"), F.lit(0.0)).alias("km")).select(
         F.lit(-1).cast(per.schema["warehouse_id"].dataType).alias("warehouse_id"), F.lit(-1).cast("bigint").alias("vehicle"), "n_stops", "km")
     return per.unionByName(total)
 

@@ -74,7 +74,7 @@ ROUTES = f"""
                 FROM a GROUP BY 1, 2),
           r AS (SELECT p.warehouse_id, p.vehicle, p.n_stops, legs + {km('d.latitude', 'd.longitude', 'la1', 'lo1')}
                        + {km('la2', 'lo2', 'd.latitude', 'd.longitude')} AS km FROM p JOIN {DEPOT} d ON p.warehouse_id = d.warehouse_id)
-     SELECT * FROM r UNION ALL SELECT -1, -1, CAST(sum(n_stops) AS BIGINT), sum(km) FROM r)"""
+     SELECT * FROM r UNION ALL SELECT -1, -1, CAST(coalesce(sum(n_stops), 0) AS BIGINT), coalesce(sum(km), 0) FROM r)"""
 
 _DEAD_D = ["order_profit", "late_delivery_probability", "avg_shipping_time"]
 
