@@ -107,11 +107,13 @@ def add_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_index
     A global sort range-partitions the rows; inside a partition
     ``monotonically_increasing_id`` counts rows in sorted order, and a small
     per-partition count table (one row per partition, broadcast) gives each
-    partition its offset. All of it stays in the JVM.
+    partition its offset. All of it stays in the JVM. The sorted rows are
+    checkpointed, so that counts and rows come from one partitioning.
     """
-    s = (df.orderBy(*order)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
+    from marketlens.session import cut_lineage
+    s = cut_lineage(df.orderBy(*order)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.plans import (customers, fulfilment, generic, inventory, marketing, pricing, reviews,
+from marketlens.plans import (basics, customers, fulfilment, generic, inventory, marketing, pricing, reviews,
                               sales, supply)
 from marketlens.sources.tables import load_tables
 
-PLAN_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic]
+PLAN_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic, basics]
 
 
 def finalize(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as E
 from marketlens.plans import fulfilment
 from marketlens.sources.tables import load_tables
+from oracle import basics as oracle_basics
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,7 +38,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", SAMPLE + sorted(oracle_basics.SQL))
 def test_matches_oracle(spark, con, name):
     sp = E.queries()[name](spark, SF).toPandas()
     du = con.execute(E.oracle_sql()[name]).fetchdf()
