@@ -5,7 +5,7 @@ the end id allow it, else 32), compressed by itself with zstandard and a
 dictionary that all documents share. A store is a folder with two Parquet
 tables: ``dictionary`` (one row: the dictionary, its SHA-256, the id width) and
 ``shards``: runs of documents in ascending id order, each shard with its
-documents' ids, token counts and byte offsets, and one payload of the
+documents' ids, token offsets and byte offsets, and one payload of the
 compressed arrays. A single document is read from its shard by its offset.
 
 Edge cases: a null or empty text has the end id alone; null document ids come
@@ -34,7 +34,9 @@ from marketlens.llm.textops import slices
 
 #: The dictionary is trained on this many documents (those of the least hashes), this much of each, at most.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1_000, 16_384, 64 << 10
-RANGE_BYTES, SHARD_BYTES, SHARD_DOCUMENTS = 64 << 20, 4 << 20, 8_192
+RANGE_BYTES, SHARD_BYTES, SHARD_DOCUMENTS = 64 << 20, 256 << 10, 8_192
+#: Parquet row groups of the shards: a task holds one while it writes or reads.
+GROUP_BYTES = 16 << 20
 #: Words kept with their ids in a task; beyond that it starts anew.
 KNOWN_WORDS = 600_000
 LEVEL = 3
@@ -185,7 +187,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
     coded = rows.mapInArrow(compress, "bucket int, id bigint, n bigint, payload binary").repartitionById(len(cuts) + 1, "bucket") \
         .sortWithinPartitions("bucket", F.col("id").asc_nulls_first(), "n", "payload")
     schema = T.StructType.fromDDL("bucket int, shard int, before bigint, n_tokens bigint, first_id bigint, last_id bigint, sha256 string, "
-                                  "ids array<bigint>, counts array<bigint>, offsets array<bigint>, payload binary")
+                                  "ids array<bigint>, firsts array<bigint>, offsets array<bigint>, payload binary")
 
     def shards(batches):
         bucket, shard, before, held, used = None, 0, 0, [], 0
@@ -194,13 +196,13 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
             nonlocal shard, before, held, used
             ids, counts, parts = zip(*held, strict=True)
             known = [i for i in ids if i is not None]
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+            firsts, offsets = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, [len(p) for p in parts]))
             row = dict(zip(schema.names, ([bucket], [shard], [before], [sum(counts)], [known[0] if known else None], [known[-1] if known else None],
-                                          [digest], [list(ids)], [list(counts)], [offsets.tolist()], [b"".join(parts)]), strict=True))
+                                          [digest], [list(ids)], [firsts.tolist()], [offsets.tolist()], [b"".join(parts)]), strict=True))
             shard, before, held, used = shard + 1, before + sum(counts), [], 0
             return pa.RecordBatch.from_pydict(row, schema=pa.schema(
                 [("bucket", pa.int32()), ("shard", pa.int32()), *((k, pa.int64()) for k in ("before", "n_tokens", "first_id", "last_id")),
-                 ("sha256", pa.string()), *((k, pa.list_(pa.int64())) for k in ("ids", "counts", "offsets")), ("payload", pa.binary())]))
+                 ("sha256", pa.string()), *((k, pa.list_(pa.int64())) for k in ("ids", "firsts", "offsets")), ("payload", pa.binary())]))
 
         for b in batches:
             for own, i, k, p in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -215,31 +217,34 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
         if held:
             yield flush()
 
-    coded.mapInArrow(shards, schema).write.option("compression", "none").parquet(f"{path}/shards")
+    coded.mapInArrow(shards, schema).write.option("compression", "none").option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/shards")
     return path
 
 
-def _decoder(spark: SparkSession, path: str):
+def _decoded(shards: DataFrame, path: str, wanted: frozenset | None = None) -> DataFrame:
+    """(doc_id, start, ids) of the documents of shards. Documents are taken from their shards before Python sees them, so that
+    a batch holds documents and not shards."""
+    spark = shards.sparkSession
     head = spark.read.parquet(f"{path}/dictionary").first()
     trained, width, digest = bytes(head["dictionary"]), head["width"], head["sha256"]
     shared = spark.sparkContext.broadcast(trained)
-
-    def decode(batches, wanted=None):
+    payload = F.when(F.col("sha256") == digest, F.col("payload")).otherwise(
+        F.raise_error(F.lit("the shard was written with another dictionary")).cast("binary"))
+    each = F.transform(F.sequence(F.lit(0), F.size("ids") - 1), lambda i: F.struct(
+        F.col("ids")[i].alias("doc_id"), (F.col("start") + F.col("firsts")[i]).alias("start"),
+        F.substring(F.col("payload"), (F.col("offsets")[i] + 1).cast("int"), (F.col("offsets")[i + 1] - F.col("offsets")[i]).cast("int"))
+        .alias("payload")))
+    rows = shards.withColumn("payload", payload).select(F.explode(each).alias("d")).select("d.*")
+    if wanted is not None:
+        rows = rows.where(F.col("doc_id").isin(*wanted))
+
+    def decode(batches):
         tool = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(shared.value) if shared.value else None)
-        for b in batches:
-            for s in b.to_pylist():
-                if s["sha256"] != digest:
-                    raise ValueError("the shard was written with another dictionary")
-                starts = s["start"] + np.concatenate([[0], np.cumsum(s["counts"])])
-                take = [k for k, i in enumerate(s["ids"]) if wanted is None or i in wanted]
-                for i in range(0, len(take), 512):
-                    own = take[i:i + 512]
-                    ids = [np.frombuffer(tool.decompress(s["payload"][s["offsets"][k]:s["offsets"][k + 1]]), width).astype("<u4").tobytes()
-                           for k in own]
-                    yield pa.RecordBatch.from_arrays([pa.array([s["ids"][k] for k in own], pa.int64()), pa.array(starts[own], pa.int64()),
-                                                      pa.array(ids, pa.binary())], ["doc_id", "start", "ids"])
+        for b in slices(batches, 512):
+            ids = [np.frombuffer(tool.decompress(p), width).astype("<u4").tobytes() for p in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["doc_id", "start", "ids"])
 
-    return decode
+    return rows.mapInArrow(decode, _ROWS)
 
 
 _ROWS = "doc_id bigint, start bigint, ids binary"
@@ -258,19 +263,17 @@ def _with_starts(shards: DataFrame, path: str) -> DataFrame:
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, ids): every document's ids as little-endian 32-bit integers, and the number of ids before them."""
-    decode = _decoder(spark, path)
-    shards = _with_starts(spark.read.parquet(f"{path}/shards"), path)
-    return shards.select("start", "sha256", "ids", "counts", "offsets", "payload").mapInArrow(lambda b: decode(b), _ROWS)
+    return _decoded(_with_starts(spark.read.parquet(f"{path}/shards"), path), path)
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
     """The same for a few documents: only shards whose id span holds one are read, and only those documents are decompressed."""
-    wanted, decode = frozenset(doc_ids), _decoder(spark, path)
+    wanted = frozenset(doc_ids)
     hit = F.lit(False)
     for i in wanted:
         hit = hit | ((F.col("first_id") <= i) & (F.col("last_id") >= i))
     shards = _with_starts(spark.read.parquet(f"{path}/shards").where(hit), path)
-    return shards.select("start", "sha256", "ids", "counts", "offsets", "payload").mapInArrow(lambda b: decode(b, wanted), _ROWS)
+    return _decoded(shards, path, wanted)
 
 
 def new_store_path(spark: SparkSession) -> str:
