@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.llm.ranges import range_bounds, text_bytes
-from marketlens.llm.textops import slices
+from marketlens.llm.textops import give_back, slices
 
 #: The dictionary is trained on this many documents (those of the least hashes), this much of each, at most.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1_000, 16_384, 64 << 10
@@ -161,6 +161,8 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
         encode = _encoder(tokenizer, width, end_id)
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array(encode(b.column(0).to_pylist()), pa.binary())], ["ids"])
+        del encode
+        give_back()
 
     sample = rows.where(F.length("text") > 0).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCUMENTS)
     samples = [bytes(r["ids"]) for r in sample.select(F.substring("text", 1, SAMPLE_CHARS)).mapInArrow(plain, "ids binary").collect()]
@@ -183,6 +185,8 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.searchsorted(cuts, key, side="left"), pa.int32()), ids, pa.array([len(p) // size for p in packed], pa.int64()),
                  pa.array([tool.compress(p) for p in packed], pa.binary())], ["bucket", "id", "n", "payload"])
+        del encode                                            # its words go before memory is given back
+        give_back()
 
     coded = rows.mapInArrow(compress, "bucket int, id bigint, n bigint, payload binary").repartitionById(len(cuts) + 1, "bucket") \
         .sortWithinPartitions("bucket", F.col("id").asc_nulls_first(), "n", "payload")
