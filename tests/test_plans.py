@@ -5,6 +5,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -20,12 +21,11 @@ SAMPLE = ["q07_monthly_orders_revenue", "q09_price_revenue_by_state", "c01_label
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return ""
     if isinstance(v, float):
         return f"{round(v, 6):.6f}"
     if hasattr(v, "isoformat"):
-        import pandas as pd
         return str(pd.Timestamp(v))
     return str(v)
 
