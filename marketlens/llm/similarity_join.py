@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.chunks import (CHUNK_BYTES, LISTS, NO_ID, PART_HASHES, answers, as_table, chunk_of, count_across, distinct,
                                    list_rows, pieces, plan, unpack)
 from marketlens.llm.components import components
-from marketlens.llm.textops import give_back, lower_ascii, mix64, utf8, window_hashes, words
+from marketlens.llm.textops import give_back, lower_ascii, mix64, runs, utf8, window_hashes, words
 
 WORDS, PERCENT = 5, 80
 #: Sets of a block; a task holds two blocks at most. Bytes of sets that a task should get if its groups are small.
@@ -56,9 +56,20 @@ def need(n: int, percent: int) -> int:
 
 
 def doc_sets(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ends, hashes): each text's distinct shingle hashes, ascending; text k has hashes[ends[k]:ends[k + 1]]."""
+    """(ends, hashes): each text's distinct shingle hashes, ascending; text k has hashes[ends[k]:ends[k + 1]]. Taken in runs
+    of about a megabyte of text, so that the arrays of words and windows are a run's and not the chunk's."""
     data, offsets = utf8(texts)
-    _, _, d, h = words(lower_ascii(data), offsets)
+    counts, hashes = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)]
+    for i, j in runs(offsets):
+        n, w = _run_sets(lower_ascii(data[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i], size)
+        counts.append(n)
+        hashes.append(w)
+    return np.cumsum(np.concatenate(counts)), np.concatenate(hashes)
+
+
+def _run_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(counts, hashes): how many distinct shingle hashes each text has, and those hashes, a text's ascending."""
+    _, _, d, h = words(data, offsets)
     n_words = np.bincount(d, minlength=len(offsets) - 1)
     at, w = window_hashes(h, d, size)
     owner = d[at]
@@ -74,7 +85,7 @@ def doc_sets(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
         w[a:b].sort()
     keep = np.ones(len(w), bool)
     keep[1:] = (w[1:] != w[:-1]) | (owner[1:] != owner[:-1])
-    return np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(offsets) - 1))]), w[keep]
+    return np.bincount(owner[keep], minlength=len(offsets) - 1), w[keep]
 
 
 def set_names(ends: np.ndarray, hashes: np.ndarray) -> list[bytes | None]:
@@ -94,16 +105,12 @@ def _sets(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            lengths = np.cumsum(np.array([len(t) if t else 0 for t in b.column(1).to_pylist()]))
-            start = 0
-            while start < len(b):                            # a few megabytes at a time
-                base = lengths[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(lengths, base + CHUNK_BYTES, side="right")))
+            _, offsets = utf8(b.column(1))
+            for start, end in runs(offsets):                 # a megabyte or one text at a time
                 part = b.slice(start, end - start)
                 ends, hashes = doc_sets(part.column(1), size)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends), pa.int64()), pa.array(set_names(ends, hashes), pa.binary())],
                                                  ["id", "n", "name"])
-                start = end
         give_back()
 
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))

@@ -50,7 +50,7 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _blocks(offsets: np.ndarray):
+def runs(offsets: np.ndarray):
     """Runs [i, j) of documents of about BLOCK bytes each (one document at least)."""
     i, n = 0, len(offsets) - 1
     while i < n:
@@ -63,7 +63,7 @@ def _blocks(offsets: np.ndarray):
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, document index) of every word, in order."""
     starts, ends, docs = [], [], []
-    for i, j in _blocks(offsets):
+    for i, j in runs(offsets):
         a, b = offsets[i], offsets[j]
         part = data[a:b]
         if not len(part):
