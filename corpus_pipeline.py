@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import decontaminate, language_id, mixing, queries, similarity_join, token_store
+from marketlens.llm.textops import short_batches
 from marketlens.session import checkpoint_dir, cut_lineage
 
 #: Ids up to this many are broadcast (8 bytes each) when rows are dropped by id; more are joined by shuffling.
@@ -30,6 +31,7 @@ def _rows(kept: DataFrame, docs: DataFrame) -> DataFrame:
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which no language is found: no text, no letter, or no likeness to any language. The
     languages are learned from the documents that have one."""
+    short_batches(spark)
     known = language_id.collect_prototypes(language_id.learn_prototypes(docs))
     judged = language_id.identify(_with_row(docs), known, doc_id="row", keep_text=True)
     return _rows(judged.where((F.col("lang_pred") != "und") & (F.col("score") > 0)), docs)
@@ -38,6 +40,7 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by four fifths of their 5-word shingles the one of the smallest id stays; of
     rows that repeat an id and a text one stays. Rows without an id stay."""
+    short_batches(spark)
     groups = cut_lineage(similarity_join.similar_groups(docs))
     drop = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
     twice = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
@@ -51,6 +54,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents with a window of a benchmark item."""
+    short_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_leaks(_with_row(docs), benchmark, doc_id="row", keep_text=True)
     return _rows(found.where(F.size("items") == 0), docs)

@@ -20,10 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.ranges import text_bytes
-from marketlens.llm.textops import give_back
+from marketlens.llm.textops import gathered, give_back
 
 #: Text bytes of a chunk, and about how many hashes a counting task gets.
 CHUNK_BYTES, PART_HASHES = 8 << 20, 2_000_000
+#: Bytes of documents that are dealt into pieces together: the more, the fewer pieces.
+PACK_BYTES = 32 << 20
 #: A document without an id ranks behind all others.
 NO_ID = (1 << 63) - 1
 
@@ -56,11 +58,11 @@ def chunk_of(key: str, n: int) -> Column:
 
 
 def pieces(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
-    """(chunk, piece): each batch's documents, dealt into chunks and packed."""
+    """(chunk, piece): documents, some megabytes of them at a time, dealt into chunks and packed."""
 
     def pack(batches):
         tool = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
-        for b in batches:
+        for b in gathered(batches, PACK_BYTES):
             chunk = b.column(0).to_numpy()
             order = np.argsort(chunk, kind="stable")
             edges = np.flatnonzero(np.diff(chunk[order], prepend=-1, append=n))
@@ -69,7 +71,7 @@ def pieces(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
             for i, j in zip(edges[:-1], edges[1:], strict=True):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, own.schema, options=tool) as w:
-                    w.write_batch(own.take(pa.array(order[i:j])))
+                    w.write_table(own.take(pa.array(order[i:j])).combine_chunks())
                 out_chunk.append(int(chunk[order[i]]))
                 out.append(sink.getvalue().to_pybytes())
             yield pa.RecordBatch.from_arrays([pa.array(out_chunk, pa.int32()), pa.array(out, pa.binary())], ["chunk", "piece"])

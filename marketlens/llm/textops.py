@@ -17,6 +17,8 @@ import pyarrow as pa
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes of one pass over a batch: its temporary arrays then stay in the processor's cache.
 BLOCK = 1 << 20
+#: Rows of a batch that goes to Python (short_batches).
+BATCH_ROWS = 1_000
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -142,6 +144,27 @@ def give_back() -> None:
         trim(0)
 
 
+def short_batches(spark) -> None:
+    """Texts go to Python by BATCH_ROWS rows where the session doesn't say by how many: a batch of whole texts is held on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.conf.get(key, ""):
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def gathered(batches, size: int):
+    """Tables of about so many bytes, however the batches are cut."""
+    held, used = [], 0
+    for b in batches:
+        held.append(b)
+        used += b.nbytes
+        if used >= size:
+            table, held, used = pa.Table.from_batches(held).combine_chunks(), [], 0
+            yield table
+    if held:
+        table, held = pa.Table.from_batches(held).combine_chunks(), []
+        yield table
+
+
 def slices(batches, rows: int = 1_000):
     """The batches in runs of at most so many rows, so that a run's Python copies stay small."""
     for b in batches:

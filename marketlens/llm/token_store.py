@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.llm.ranges import range_bounds, text_bytes
-from marketlens.llm.textops import give_back, slices
+from marketlens.llm.textops import give_back, short_batches, slices
 
 #: The dictionary is trained on this many documents (those of the least hashes), this much of each, at most.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1_000, 16_384, 64 << 10
@@ -150,6 +150,7 @@ def _train(samples: list[bytes]) -> bytes:
 def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> str:
     """Tokenizes, compresses and writes all documents; the path of the store."""
     spark = docs.sparkSession
+    short_batches(spark)
     with open(tokenizer_file, encoding="utf-8") as f:
         source = f.read()
     from tokenizers import Tokenizer
@@ -164,8 +165,9 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
         del encode
         give_back()
 
-    sample = rows.where(F.length("text") > 0).orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCUMENTS)
-    samples = [bytes(r["ids"]) for r in sample.select(F.substring("text", 1, SAMPLE_CHARS)).mapInArrow(plain, "ids binary").collect()]
+    heads = rows.where(F.length("text") > 0).select("id", F.substring("text", 1, SAMPLE_CHARS).alias("head"))
+    sample = heads.orderBy(F.xxhash64("id"), "id", "head").limit(SAMPLE_DOCUMENTS)
+    samples = [bytes(r["ids"]) for r in sample.select("head").mapInArrow(plain, "ids binary").collect()]
     trained = _train(samples)
     digest = hashlib.sha256(trained).hexdigest()
     shared = spark.sparkContext.broadcast(trained)
