@@ -147,7 +147,7 @@ def give_back() -> None:
 def short_batches(spark) -> None:
     """Texts go to Python by BATCH_ROWS rows where the session doesn't say by how many: a batch of whole texts is held on both sides."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not spark.conf.get(key, ""):
+    if spark.conf.get(key, None) is None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
