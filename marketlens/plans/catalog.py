@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.plans import (basics, customers, fulfilment, generic, inventory, marketing, pricing, reviews,
-                              sales, supply)
+                              sales, sentiment, supply)
 from marketlens.sources.tables import load_tables
 
-PLAN_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic, basics]
+PLAN_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic, basics, sentiment]
 
 
 def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
