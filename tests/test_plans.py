@@ -17,7 +17,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SAMPLE = ["q07_monthly_orders_revenue", "q09_price_revenue_by_state", "c01_label_churn", "c11_rfm",
           "m04_cap_roi", "b03_stock_ledger", "i09_understocked", "p03_elasticity", "o05_select_deliveries",
-          "o13_route_distance", "a04_status_priority_crosstab", "r02_clean_reviews", "r08_top_ngrams"]
+          "o13_route_distance", "a04_status_priority_crosstab", "r02_clean_reviews", "r08_top_ngrams",
+          "r16_count_features", "r17_tfidf_features"]
 
 
 def _norm(v):
