@@ -63,6 +63,20 @@ def test_pseudonyms_are_valid_linked_and_reversible(spark):
     assert whole.distinct().count() == 898 * 11 and whole.agg(F.max("y")).first()[0] == 898 * 11 - 1
 
 
+def test_telephone_numbers_of_any_area_are_replaced(spark):
+    forms = ["+1 ({:03d}) {:03d}-7713", "1-{:03d}-{:03d}-0000", "({:03d}) {:03d} 0042", "{:03d}.{:03d}.9999"]
+    numbers = [f.format(area, (area * 7 + 17) % 1000) for area in [*range(200), 526, 999] for f in forms]
+    text = "call " + " or ".join(numbers) + " now"
+    got = pseudonyms.pseudonymise(frame(spark, [(1, text)]), "k").first()
+    new = got["text"][5:-4].split(" or ")
+    assert got["n_values"] == len(numbers) and got["text"][:5] + got["text"][-4:] == "call  now"
+    shape = lambda t: "".join("d" if c.isdigit() else c for c in t)
+    assert [shape(t) for t in new] == [shape(t) for t in numbers] and all(a != b for a, b in zip(numbers, new, strict=True))
+    assert all(a.startswith("+1 (") == b.startswith("+1 (") for a, b in zip(numbers, new, strict=True))
+    assert len({t[-12:] for t in new if shape(t) == "ddd.ddd.dddd"}) == 202     # a permutation: no two numbers meet
+    assert pseudonyms.pseudonymise(frame(spark, [(1, got["text"])]), "k").first()["n_values"] == len(numbers)
+
+
 @pytest.mark.parametrize("limit", [10, 1 << 20])
 def test_leaks_match_brute_force(spark, limit):
     r = random.Random(4)
