@@ -3,7 +3,7 @@
 Every run of ``gram`` code points has a rolling hash; of every ``window``
 consecutive hashes the smallest is kept, the rightmost of equal ones, with its
 position. Two texts that share a run of ``window + gram - 1`` code points share
-a fingerprint of it.
+a fingerprint of it: 23 as set here, so short texts and short common passages count.
 
 Edge cases: an empty or null text has no fingerprints (two such texts are alike
 to 1, one of them and another text to 0); a text of fewer code points than a
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.ranges import bucket_of, range_bounds, text_bytes
 from marketlens.llm.textops import slices
 
-GRAM, WINDOW = 16, 64
+GRAM, WINDOW = 16, 8
 #: Text bytes of one range of documents; a range's texts pass through a task in order, one at a time.
 RANGE_BYTES = 32 << 20
 _BASE = 0x9E3779B97F4A7C15

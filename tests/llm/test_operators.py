@@ -223,6 +223,21 @@ def test_winnowing(spark):
     assert winnowing.next_document_report(frame(spark, docs).where("false")).count() == 0
 
 
+def test_fingerprints_are_dense_enough_for_short_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy(F.desc("doc_id")).limit(1000)
+    every = [r["text"] or "" for r in docs.select("text").collect()]
+    likeness = lambda a, b, w: winnowing.likeness(winnowing.winnow(a, window=w)[0], winnowing.winnow(b, window=w)[0])
+    for low, high, most in ((30, 100, 0.1), (100, 200, 0.05), (200, 400, 0.03)):
+        pairs = [(t, winnowing.edited_text(t, every[(k + 1) % len(every)])) for k, t in enumerate(every) if low <= len(t) < high]
+        got = [likeness(a, b, winnowing.WINDOW) for a, b in pairs]
+        errors = [abs(x - likeness(a, b, 1)) for x, (a, b) in zip(got, pairs, strict=True)]    # a window of 1 keeps all grams
+        assert len(pairs) > 9 and min(got) > 0 and sum(errors) / len(errors) < most
+    r = random.Random(5)
+    for _ in range(300):
+        run, a, b, c, d = ("".join(r.choice("abcdefgh") for _ in range(n)) for n in (23, *(r.randrange(50) for _ in range(4))))
+        assert likeness(a + run + b, c + run + d, winnowing.WINDOW) > 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
