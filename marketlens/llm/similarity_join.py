@@ -190,19 +190,28 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _heavy_links(sets: DataFrame, lists: DataFrame, percent: int, block: int, task_bytes: int) -> DataFrame:
-    """(a, b): forests of the links among the sets that meet in a list. lists: (token, id, name)."""
+def _cells(sets: DataFrame, lists: DataFrame, block: int, task_bytes: int) -> DataFrame:
+    """(bucket, family, pivot, lo, hi, name, hashes): the sets of each pair of blocks. A pair of a list of several blocks is a
+    task of its own, named by family, lo and hi; whole lists of one block share the buckets. lists: (token, id, name)."""
     from marketlens.session import cut_lineage
     first = lists.groupBy("token").agg(F.min(F.struct("id", "name")).alias("first"), F.count("*").alias("k")).where("k > 1")
     members = lists.join(first.select("token", F.col("first.name").alias("pivot")), "token").select("pivot", "name").distinct()
     members = cut_lineage(members)
     size = members.groupBy("pivot").count().where("count > 1").select("pivot", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    cut = members.join(size, "pivot").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cut.select("pivot", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "name")
-    total = members.join(sets.select("name", "n"), "name").agg(F.sum("n")).first()[0] or 0
+    blocks = members.join(size, "pivot")
+    total = blocks.where("blocks = 1").join(sets.select("name", "n"), "name").agg(F.sum("n")).first()[0] or 0
     tasks = max(1, -(-8 * total // task_bytes))
-    filled = cells.withColumn("bucket", F.pmod(F.xxhash64("pivot", "lo", "hi"), F.lit(tasks)).cast("int")).join(sets.select("name", "hashes"), "name")
+    # dealt by name before the copies are made: one large list is not copied by one task
+    cut = blocks.repartition("name").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cut.select(F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("pivot"), F.lit(tasks))).cast("int").alias("bucket"),
+                       F.when(F.col("blocks") > 1, F.col("pivot")).alias("family"), "pivot",
+                       F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "name")
+    return cells.join(sets.select("name", "hashes"), "name")
+
+
+def _heavy_links(sets: DataFrame, lists: DataFrame, percent: int, block: int, task_bytes: int) -> DataFrame:
+    """(a, b): forests of the links among the sets that meet in a list. lists: (token, id, name)."""
 
     def solve(table):
         out = []
@@ -218,7 +227,7 @@ def _heavy_links(sets: DataFrame, lists: DataFrame, percent: int, block: int, ta
                 out += [(names[rows[a]], names[rows[b]]) for a, b in link_forest([np.frombuffer(hashes[k].as_py(), np.uint64) for k in rows], percent)]
         return as_table(out, "a binary, b binary")
 
-    return filled.groupBy("bucket").applyInArrow(solve, "a binary, b binary")
+    return _cells(sets, lists, block, task_bytes).groupBy("bucket", "family", "lo", "hi").applyInArrow(solve, "a binary, b binary")
 
 
 def _boundary(stats: dict[str, float], percent: int) -> int:

@@ -199,6 +199,21 @@ def test_similar_groups_match_brute_force(spark, size, percent):
     assert sorted(map(tuple, got), key=str) == sorted(similarity_join.brute_force(docs, size, percent), key=str)
 
 
+def test_a_task_of_a_large_family_holds_two_blocks(spark):
+    names = [f"{k:04d}".encode() for k in range(600)]
+    sets = spark.createDataFrame([(n, 4, bytes(32)) for n in names], "name binary, n int, hashes binary")
+    rows = [(1, k, n) for k, n in enumerate(names[:300])] + [(2 + k // 2, k, n) for k, n in enumerate(names[300:])]
+    lists = spark.createDataFrame(rows, "token long, id long, name binary")
+    cells = similarity_join._cells(sets, lists, 30, 640).collect()
+    tasks = {}
+    for c in cells:
+        tasks.setdefault((c["bucket"], c["family"], c["lo"], c["hi"]), []).append(c)
+    family = [v for k, v in tasks.items() if k[1] is not None]
+    small = [v for k, v in tasks.items() if k[1] is None]
+    assert len(family) == 55 and max(map(len, family)) < 4 * 30 and sum(map(len, family)) == 300 * 10   # 10 blocks, no set missing
+    assert sum(map(len, small)) == 300 and 5 < len(small) <= 15 and max(map(len, small)) < 100
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(1, 30)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
