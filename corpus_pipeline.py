@@ -17,6 +17,11 @@ from marketlens.session import checkpoint_dir, cut_lineage
 
 #: Ids up to this many are broadcast (8 bytes each) when rows are dropped by id; more are joined by shuffling.
 BROADCAST_IDS = 4_000_000
+#: Dimensions of the language profiles here: letters that no language has score 0.02 in standard deviation (1 / sqrt).
+DIMENSIONS = 2_048
+#: (code points, cosine): a text of at least so many must score above that. A shorter clean text shares less with its
+#: language; under 20 it can score like noise, and stays in doubt.
+LEAST_COSINE = ((300, 0.15), (20, 0.08), (0, 0.0))
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
@@ -29,12 +34,13 @@ def _rows(kept: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents in which no language is found: no text, no letter, or no likeness to any language. The
-    languages are learned from the documents that have one."""
+    """Drops the documents in which no language is found: no text, no letter, or no more likeness to any language than
+    LEAST_COSINE. The languages are learned from the documents that have one."""
     short_batches(spark)
-    known = language_id.collect_prototypes(language_id.learn_prototypes(docs))
+    known = language_id.collect_prototypes(language_id.learn_prototypes(docs, size=DIMENSIONS))
     judged = language_id.identify(_with_row(docs), known, doc_id="row", keep_text=True)
-    return _rows(judged.where((F.col("lang_pred") != "und") & (F.col("score") > 0)), docs)
+    least = F.coalesce(*[F.when(F.length("text") >= n, cosine) for n, cosine in LEAST_COSINE])
+    return _rows(judged.where((F.col("lang_pred") != "und") & (F.col("score") > least)), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from marketlens.llm.textops import slices
 
 DIMENSIONS = 512
 SEED = 20_011
-#: Code points handled together, texts and trigrams per matrix product.
+#: Code points handled together, texts and trigrams (at DIMENSIONS) per matrix product.
 BLOCK, ROWS, CODES = 1 << 20, 64, 1 << 13
 
 
@@ -83,6 +83,8 @@ def _blocks(batch):
 def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", size: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
     """(lang, place, value): the bundled profiles. Each task bundles its own rows; the sums are then added by place."""
 
+    step = max(1, CODES * DIMENSIONS // size)
+
     def bundle(batches):
         letters, sums = _letters(), {}
         for batch in slices(batches):
@@ -94,8 +96,8 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
                     used, _, tri, m = _trigrams(texts, letters)
                     codes, counts = _counted(tri, m)
                     own = sums.setdefault(name, np.zeros(size))
-                    for i in range(0, len(codes), CODES):
-                        own += counts[i:i + CODES].astype(np.float64) @ _vectors(codes[i:i + CODES], m, used, size, seed)
+                    for i in range(0, len(codes), step):
+                        own += counts[i:i + step].astype(np.float64) @ _vectors(codes[i:i + step], m, used, size, seed)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([np.rint(v).astype(np.int64) for v in sums.values()],
                                                                              pa.list_(pa.int64()))], ["lang", "v"])
@@ -139,6 +141,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
     doc_id may be a column of any type, such as a struct of the row's other columns; keep_text adds the text."""
     names = sorted(prototypes)
     size = len(next(iter(prototypes.values()), []))
+    step = max(1, CODES * DIMENSIONS // max(1, size))
 
     def judge(batches):
         letters = _letters()
@@ -160,8 +163,8 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                         bundles = np.zeros((n, size))
                         where = (doc[edges[k]:edges[k + 1]] - k * ROWS) * len(active) + at
                         counts = np.bincount(where, minlength=n * len(active)).reshape(n, len(active)).astype(np.float32)
-                        for i in range(0, len(active), CODES):
-                            bundles += counts[:, i:i + CODES] @ _vectors(codes[active[i:i + CODES]], m, used, size, seed)
+                        for i in range(0, len(active), step):
+                            bundles += counts[:, i:i + step] @ _vectors(codes[active[i:i + step]], m, used, size, seed)
                         norm = np.linalg.norm(bundles, axis=1)
                         cos = bundles @ known / np.where(norm > 0, norm, 1)[:, None]
                         best = cos.argmax(axis=1)

@@ -253,6 +253,22 @@ def test_fingerprints_are_dense_enough_for_short_texts(spark):
         assert likeness(a + run + b, c + run + d, winnowing.WINDOW) > 0
 
 
+def test_pipeline_drops_languages_that_were_not_learned(spark):
+    import corpus_pipeline
+    r = random.Random(6)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    word = lambda low, high: "".join(chr(r.randrange(low, high)) for _ in range(r.randrange(2, 9)))
+    odd = [(-1 - k, " ".join(word(*script) for _ in range(n)))
+           for k, (script, n) in enumerate([(s, n) for s in ((0x3b1, 0x3ca), (0x430, 0x450), (0x4e00, 0x5e00)) for n in (20, 200)] * 20)]
+    odd.append((-900, "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью"))
+    latin = [(-1000 - k, " ".join(word(97, 123) for _ in range(200))) for k in range(50)]
+    rows = spark.createDataFrame([(i, t, None, "x", len(t)) for i, t in odd + latin], docs.schema)
+    kept = {x[0] for x in corpus_pipeline.identify_languages(spark, docs.unionByName(rows), "").select("doc_id").collect()}
+    assert not kept & {i for i, _ in odd} and len(kept & {i for i, _ in latin}) <= 5
+    clean = {x["doc_id"] for x in docs.where("lang IS NOT NULL").collect() if any(c.isalpha() for c in x["text"] or "")}
+    assert clean <= kept
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
