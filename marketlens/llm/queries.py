@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import (decontaminate, html_main, language_id, mixing, pseudonyms, similarity_join, substring_dedup, token_store,
-                            url_rules, winnowing)
+from marketlens.llm import (bpe, centroids, decontaminate, html_main, language_id, mixing, pseudonyms, similarity_join, substring_dedup,
+                            token_store, url_rules, whitening, winnowing)
 
 # The rules (host, path, action) that op6 judges by.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
@@ -86,5 +86,21 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.next_document_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the first 16 components."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every embedding after ten rounds from eight first centroids."""
+    return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of their decoded text."""
+    import public_tokenizers
+    return bpe.round_trip_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_pseudonyms, op3_decontaminate, op4_mix, op5_substring_dedup, op6_url_filter, op7_token_store,
-                                   op8_language_id, op9_similarity_join, op10_winnowing)}
+                                   op8_language_id, op9_similarity_join, op10_winnowing, op11_whitening, op12_centroids, op13_bpe)}

@@ -62,4 +62,27 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, min(
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN reach ON w.doc_id = reach.a GROUP BY w.doc_id
 """
 
-SQL = {"op9_similarity_join": OP9, "op5_substring_dedup": OP5, "op3_decontaminate": OP3, "op6_url_filter": OP6}
+
+
+def _op12(rounds: int = 10, k: int = 8) -> str:
+    """Lloyd's rounds one after the other: c0, a0, c1, a1, ..."""
+    parts = [f"""kept AS MATERIALIZED (SELECT vec_id, x, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)) NULLS LAST, x) AS r
+      FROM (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(CAST(c AS DOUBLE) * 1024) AS BIGINT)) AS x FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64)),
+e AS MATERIALIZED (SELECT r, unnest(range(64)) AS i, unnest(x) AS v FROM kept),
+c0 AS MATERIALIZED (SELECT CAST(r - 1 AS INTEGER) AS c, i, v FROM e WHERE r <= {k})"""]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (SELECT r, min({{'d': d, 'c': c}}) AS m FROM (SELECT r, c, CAST(sum((e.v - t.v) * (e.v - t.v)) AS BIGINT) AS d
+      FROM e JOIN c{n} t ON e.i = t.i GROUP BY r, c) GROUP BY r)""")
+        if n < rounds:
+            parts.append(f"""c{n + 1} AS MATERIALIZED (SELECT t.c, t.i, coalesce(u.v, t.v) AS v FROM c{n} t LEFT JOIN (
+      SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS v FROM (SELECT m.c AS c, i, sum(v) AS s, count(*) AS n FROM e JOIN a{n} USING (r) GROUP BY ALL)) u
+      ON t.c = u.c AND t.i = u.i)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, m.c AS cluster, m.d AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(m.d) OVER () AS BIGINT) AS inertia, h.h AS centroid_sha256
+FROM kept JOIN a{rounds} USING (r) JOIN (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c) h ON h.c = m.c
+"""
+
+
+SQL = {"op9_similarity_join": OP9, "op5_substring_dedup": OP5, "op3_decontaminate": OP3, "op6_url_filter": OP6, "op12_centroids": _op12()}
