@@ -42,7 +42,7 @@ WESTERN = re.compile("[\\x00-\\x7F\u00A1\u00A7\u00AB\u00BB\u00BF\u00C0-\u00FF\u0
 _LETTER = "a-z\u00DF-\u00F6\u00F8-\u00FF\u0153"
 WESTERN_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^ \\t-\\r0-9{_LETTER}]+")
 #: Bytes of kept words and ids in a Python process, counted with what an entry costs; longer words aren't kept.
-KEPT_BYTES, ENTRY_BYTES, LONGEST_KEPT = 80 << 20, 200, 256
+KEPT_BYTES, ENTRY_BYTES, LONGEST_KEPT = 48 << 20, 200, 256
 #: A leaf is rank << PLACE | place, a pair's key a << PAIR | b.
 PLACE, PAIR = 32, 24
 PLACES, NO_PAIR = (1 << PLACE) - 1, (1 << 62) - 1
