@@ -176,7 +176,8 @@ def with_overall_row(groups: DataFrame, key: str, value: str, label: str = "Over
                      digits: int = 2) -> DataFrame:                               # A-21
     """Total row = unweighted mean of the (rounded) group means, not a weighted rollup."""
     from marketlens.functions.numeric import round_half_even
-    overall = groups.agg(round_half_even(F.avg(value), digits).alias(value)).select(
+    exact = F.sum(F.col(value).cast("decimal(34,12)")).cast("double")            # a sum in any order
+    overall = groups.agg(round_half_even(exact / F.count(value), digits).alias(value)).select(
         F.lit(label).alias(key), value)
     return groups.select(key, value).unionByName(overall)
 

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.plans import (basics, customers, fulfilment, generic, inventory, marketing, pricing, reviews,
-                              sales, sentiment, supply)
+from marketlens.plans import (basics, customers, forecasting, fulfilment, generic, inventory, lifetime, marketing,
+                              price_models, pricing, reviews, sales, sentiment, supply)
 from marketlens.sources.tables import load_tables
 
-PLAN_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic, basics, sentiment]
+PLAN_MODULES = [sales, customers, lifetime, marketing, reviews, sentiment, supply, inventory, forecasting, pricing, price_models,
+                fulfilment, generic, basics]
 
 
 def finalize(df: DataFrame, digits: int = 6) -> DataFrame:

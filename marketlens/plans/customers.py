@@ -207,27 +207,32 @@ def scale_rfm(t: Tables) -> DataFrame:
 
 
 def kmeans_elbow(t: Tables, max_k: int = 10, features: Sequence[str] = ("recency", "frequency", "monetary_value"),
-                 seed: int = 1) -> DataFrame:
-    """k-means cost for k = 1..max_k, one feature at a time (D-07). k = 1 is the
-    total squared deviation (MLlib needs k >= 2)."""
+                 seed: int = 1) -> DataFrame:                                         # C-15
+    """k-means cost for k = 1..max_k, one feature at a time (D-07). Equal values are one weighted row, so a fit's passes
+    are over distinct values; k = 1 is the total squared deviation (MLlib needs k >= 2). A k whose random start ends
+    worse than fewer clusters keeps their cost, which splitting one of them can't raise."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
     from marketlens.session import cut_lineage
-    r = scale_rfm(t)
-    spark = t.spark
+    r = cut_lineage(scale_rfm(t).select(*[f"{f}_scaled" for f in features]))
     rows = []
     for f in features:
-        col = f"{f}_scaled"
-        data = VectorAssembler(inputCols=[col], outputCol="features", handleInvalid="skip").transform(
-            r.select(col).where(F.col(col).isNotNull()))
-        data = cut_lineage(data)
-        m = data.agg(F.avg(col).alias("m")).first()["m"]
-        sse1 = data.agg(F.sum(F.pow(F.col(col) - F.lit(m), 2)).alias("s")).first()["s"]
-        rows.append((f, 1, float(sse1 or 0.0)))
+        value = F.col(f"{f}_scaled").alias("value")
+        cells = r.select(value).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        data = cut_lineage(VectorAssembler(inputCols=["value"], outputCol="features").transform(cells))
+        s = data.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("value")).alias("s"), F.count(F.lit(1)).alias("cells")).first()
+        if not s["cells"]:
+            continue
+        cost = data.agg(F.sum(F.col("n") * F.pow(F.col("value") - F.lit(s["s"] / s["n"]), 2)).alias("c")).first()["c"]
+        rows.append((f, 1, float(cost)))
         for k in range(2, max_k + 1):
-            model = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
-            rows.append((f, k, float(model.summary.trainingCost)))
-    return spark.createDataFrame(rows, "feature string, k bigint, cost double")
+            if k >= s["cells"]:
+                cost = 0.0                                    # a cluster for each value
+            else:
+                model = KMeans(k=k, seed=seed, featuresCol="features", weightCol="n", initSteps=3).fit(data)
+                cost = min(cost, float(model.summary.trainingCost))
+            rows.append((f, k, float(cost)))
+    return t.spark.createDataFrame(rows, "feature string, k bigint, cost double")
 
 
 def segment_summary(t: Tables) -> DataFrame:
@@ -297,6 +302,7 @@ QUERIES = {
     "c12_rfm_tiers": rfm_tiers,
     "c13_customer_segment": customer_segment,
     "c14_scale_rfm": scale_rfm,
+    "c15_kmeans_elbow": kmeans_elbow,
     "c16_segment_summary": segment_summary,
     "c17_clv_rfm": clv_rfm,
     "c20_clv_repeat_buyers": clv_repeat_buyers,

@@ -16,6 +16,7 @@ from pyspark.sql import Window
 from marketlens.functions import text as TX
 from marketlens.functions.numeric import haversine_km
 from marketlens.operators.joins import fuzzy_best_in_block, fuzzy_top_k
+from marketlens.session import cut_lineage
 from marketlens.sources import standins as V
 from marketlens.sources.tables import Tables
 
@@ -29,19 +30,21 @@ N_VEHICLES, CAPACITY = 4, 10
 WAREHOUSE_NODE = 0
 
 
-def _history(t: Tables, date: str) -> DataFrame:
+def history_metrics(t: Tables, date: str = PLAN_DATE) -> DataFrame:
+    """Late share and mean shipping days of each product and mode over the year before the date, in one aggregate."""
     d = F.to_date(F.lit(date))
-    return V.order_data(t).where(F.to_date("order_date").between(F.date_sub(d, HISTORY_DAYS), d))
+    lines = V.order_data(t, "product_id", "shipping_mode", "order_date", "delivery_status", "days_for_shipping_real")
+    return lines.where(F.to_date("order_date").between(F.date_sub(d, HISTORY_DAYS), d)).groupBy("product_id", "shipping_mode").agg(
+        F.avg((F.col("delivery_status") == "Late delivery").cast("double")).alias("late_delivery_probability"),
+        F.avg("days_for_shipping_real").alias("avg_shipping_time"))
 
 
 def late_probability(t: Tables, date: str = PLAN_DATE) -> DataFrame:                  # O-01
-    return _history(t, date).groupBy("product_id", "shipping_mode").agg(
-        F.avg((F.col("delivery_status") == "Late delivery").cast("double")).alias("late_delivery_probability"))
+    return history_metrics(t, date).drop("avg_shipping_time")
 
 
 def avg_shipping_time(t: Tables, date: str = PLAN_DATE) -> DataFrame:                 # O-02
-    return _history(t, date).groupBy("product_id", "shipping_mode").agg(
-        F.avg("days_for_shipping_real").alias("avg_shipping_time"))
+    return history_metrics(t, date).drop("late_delivery_probability")
 
 
 def delivery_deadlines(t: Tables, date: str = PLAN_DATE) -> DataFrame:                # O-03
@@ -49,8 +52,7 @@ def delivery_deadlines(t: Tables, date: str = PLAN_DATE) -> DataFrame:
     scheduled days; days until the scheduled delivery date."""
     d = F.to_date(F.lit(date))
     o = V.order_data(t).where(F.to_date("order_date").between(F.date_sub(d, RECENT_DAYS), d))
-    j = (o.join(late_probability(t, date), ["product_id", "shipping_mode"], "left")
-         .join(avg_shipping_time(t, date), ["product_id", "shipping_mode"], "left"))
+    j = o.join(history_metrics(t, date), ["product_id", "shipping_mode"], "left")
     j = j.withColumn("avg_shipping_time", F.coalesce(F.col("avg_shipping_time"),
                                                      F.col("days_for_shipment_scheduled").cast("double")))
     due = F.date_add(F.to_date("order_date"), F.col("days_for_shipment_scheduled").cast("int"))
@@ -66,7 +68,7 @@ def priority_score(t: Tables, date: str = PLAN_DATE, weights: dict | None = None
     time and profit, each min-max scaled over the warehouse's candidates. A product with no
     late history scores null and sorts last (D-16)."""
     w = dict(WEIGHTS, **(weights or {}))
-    d = delivery_deadlines(t, date)
+    d = cut_lineage(delivery_deadlines(t, date))              # the orders of a few days, used twice
     mm = d.groupBy("warehouse_id").agg(*[f(c).alias(f"_{n}_{c}") for c in ["days_till_scheduled_delivery", "avg_shipping_time", "order_profit"]
                  for n, f in (("lo", F.min), ("hi", F.max))])
     x = d.join(mm, "warehouse_id")
@@ -164,7 +166,7 @@ def route_distance(t: Tables, by_region: bool = False, include_depot: bool = Tru
 def country_candidates(t: Tables, k: int = 5, min_score: int = 50) -> DataFrame:    # O-06
     """Order countries missing from the city list (after name cleaning), with the
     k best list countries by similarity score."""
-    orders = V.order_data(t).select(TX.clean_name("order_country").alias("country")).distinct()
+    orders = V.order_data(t, "order_country").select(TX.clean_name("order_country").alias("country")).distinct()
     world = V.world_cities(t).select(TX.clean_name("country").alias("country")).distinct()
     missing = orders.join(world, "country", "left_anti")
     return fuzzy_top_k(missing, "country", world, "country", k=k, min_score=min_score)
@@ -173,7 +175,7 @@ def country_candidates(t: Tables, k: int = 5, min_score: int = 50) -> DataFrame:
 def map_locations(t: Tables, min_score: int = 50) -> DataFrame:                      # O-07
     """Each order place: best list country, then the best admin name (state)
     inside that country."""
-    places = V.order_data(t).select(TX.clean_name("order_country").alias("country"),
+    places = V.order_data(t, "order_country", "order_region").select(TX.clean_name("order_country").alias("country"),
                                     TX.clean_name("order_region").alias("state")).distinct()
     world = V.world_cities(t).select(TX.clean_name("country").alias("world_country"),
                                      TX.clean_name("admin_name").alias("world_state")).distinct()

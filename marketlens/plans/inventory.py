@@ -1,9 +1,8 @@
 """Demand and inventory (I-01 .. I-13).
 
 Demand is aggregated per product-month; EOQ and reorder points are Column
-expressions; the reorder-policy backtest (I-11) keeps state from day to day,
-so it runs per product as a grouped pandas fold (``applyInPandas``): one
-product's days are bounded by the calendar, never by the data volume.
+expressions. Windows run over a product's days or months, which the calendar
+bounds, whatever the data volume. The demand model is in ``forecasting``.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ def monthly_demand(t: Tables, year: int = FORECAST_YEAR, first_month: str | None
     """Units per product-month from Dec of year-2 (or ``first_month``) to Dec of year-1."""
     start = first_month or f"{year - 2}-12-01"
     end = f"{year - 1}-12-31"
-    o = V.order_data(t).where(F.to_date("order_date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    o = V.order_data(t, "product_id", "order_date", "order_item_quantity").where(F.to_date("order_date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
     return o.groupBy("product_id", F.year("order_date").cast("bigint").alias("order_year"),
                      F.month("order_date").cast("bigint").alias("order_month")).agg(
         F.sum("order_item_quantity").alias("total_quantity"))
@@ -110,7 +109,7 @@ def holding_cost_actual(t: Tables, before: str = HOLDING_BEFORE) -> DataFrame:
 
 
 def monthly_units_by_product(t: Tables, before: str = HOLDING_BEFORE) -> DataFrame:  # I-13
-    o = V.order_data(t).where(F.col("order_date") < F.to_timestamp(F.lit(before)))
+    o = V.order_data(t, "product_id", "order_date", "order_item_quantity").where(F.col("order_date") < F.to_timestamp(F.lit(before)))
     return o.groupBy("product_id", F.year("order_date").cast("bigint").alias("order_year"),
                      F.month("order_date").cast("bigint").alias("order_month")).agg(
         F.sum("order_item_quantity").alias("total_quantity"))

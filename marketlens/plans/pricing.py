@@ -39,13 +39,13 @@ def _map(d: dict):
 
 
 def unit_price(t: Tables) -> DataFrame:                                             # P-01
-    o = V.order_data(t)
+    o = V.order_data(t, "order_id", "order_item_id", "product_id", "order_item_total", "order_item_quantity")
     return o.select("order_id", "order_item_id", "product_id", "order_item_total", "order_item_quantity",
                     round_half_even(F.try_divide("order_item_total", "order_item_quantity"), 2).alias("final_price"))
 
 
 def _own_rows(t: Tables) -> DataFrame:
-    o = V.order_data(t).where((F.col("order_date") >= F.lit(f"{YEARS[0]}-01-01").cast("timestamp_ntz"))
+    o = V.order_data(t, "order_date", "category_name", "sales", "discount_rate", "order_item_quantity", "order_item_total").where((F.col("order_date") >= F.lit(f"{YEARS[0]}-01-01").cast("timestamp_ntz"))
                              & (F.col("order_date") < F.lit(f"{YEARS[1] + 1}-01-01").cast("timestamp_ntz"))
                              & (F.col("sales") <= MAX_PRICE))
     o = o.select(F.col("order_date"), F.col("category_name").alias("product_category"),
@@ -140,7 +140,7 @@ def merge_market(t: Tables) -> DataFrame:
 
 def product_month_elasticity(t: Tables, product_name: str = SINGLE_PRODUCT) -> DataFrame:  # P-08
     """One product: per-unit values, monthly means and the month-to-month elasticity."""
-    o = V.order_data(t).where(F.col("product_name") == product_name)
+    o = V.order_data(t, "product_name", "order_date", "order_item_quantity", "discount_rate", "sales").where(F.col("product_name") == product_name)
     o = o.select("order_date", "order_item_quantity", "discount_rate",
                  F.try_divide("sales", "order_item_quantity").alias("unit_price"),
                  F.try_divide(F.col("sales") * F.col("discount_rate"), F.col("order_item_quantity")).alias("unit_discount"))

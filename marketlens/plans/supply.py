@@ -7,17 +7,18 @@ product-month window (at most 31 rows per window, whatever the data size).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.numeric import round_half_even
-from pyspark.sql import Window
-
 from marketlens.functions import text as TX
 from marketlens.functions.numeric import money_sum
 from marketlens.operators.aggregates import mode_per_key
+from marketlens.session import checkpoint_dir
 from marketlens.sources import standins as V
-from marketlens.sources.tables import Tables
+from marketlens.sources.tables import Tables, export_bundle
 
 CLEAN_CUTOFF = "2001-01-01"
 PRICE_CUTOFF = "2000-01-01"
@@ -52,7 +53,7 @@ def warehouse_location(t: Tables) -> DataFrame:
     """Each order row gets its warehouse's most frequent coordinate pair."""
     g = V.geolocation(t).select(F.col("geolocation_city").alias("order_country"),
                                 F.col("geolocation_lat").alias("lat"), F.col("geolocation_lng").alias("lng"))
-    rows = V.order_data(t).select("order_id", "order_item_id", "warehouse_id", "order_country").join(
+    rows = V.order_data(t, "order_id", "order_item_id", "warehouse_id", "order_country").join(
         g, "order_country")
     mode = mode_per_key(rows, ["warehouse_id"], ["lat", "lng"]).withColumnsRenamed(
         {"lat": "warehouse_lat", "lng": "warehouse_lng"})
@@ -60,7 +61,7 @@ def warehouse_location(t: Tables) -> DataFrame:
 
 
 def daily_units(t: Tables) -> DataFrame:
-    return V.order_data(t).groupBy("product_id", F.to_date("order_date").alias("date")).agg(
+    return V.order_data(t, "product_id", "order_date", "order_item_quantity").groupBy("product_id", F.to_date("order_date").alias("date")).agg(
         F.sum("order_item_quantity").alias("sold"))
 
 
@@ -68,17 +69,21 @@ def stock_ledger(t: Tables, initial_factor: float = INITIAL_FACTOR, restock_fact
                  subtract_first_day: bool = False) -> DataFrame:                   # B-03
     """Daily stock per product-month with sales: day 1 = initial + restock,
     later days minus the units sold (D-10: day-1 sales are not taken off unless
-    ``subtract_first_day``); stock floored at 0 on output only."""
-    d = daily_units(t)
-    monthly = d.groupBy("product_id", F.trunc("date", "MM").alias("month")).agg(F.sum("sold").alias("month_units"))
-    prev = monthly.select("product_id", F.add_months("month", 1).alias("month"),
-                          F.col("month_units").alias("prev_units"))
-    m = monthly.join(prev, ["product_id", "month"], "left").fillna({"prev_units": 0.0})
+    ``subtract_first_day``); stock floored at 0 on output only.
+
+    The orders are read and joined once. Daily units, at most one row a day for each
+    product, are dealt by product; its months (with their days as a map), the month before
+    and the days follow without another shuffle or join."""
+    d = daily_units(t).repartition("product_id")
+    m = d.groupBy("product_id", F.trunc("date", "MM").alias("month")).agg(
+        F.sum("sold").alias("month_units"), F.map_from_entries(F.collect_list(F.struct("date", "sold"))).alias("days"))
+    by_month = Window.partitionBy("product_id").orderBy("month")           # as many rows as months
+    before = F.when(F.lag("month").over(by_month) == F.add_months("month", -1), F.lag("month_units").over(by_month))
     m = m.withColumn("opening", F.ceil(F.col("month_units") * F.lit(initial_factor)).cast("double")
-                     + F.ceil(F.col("prev_units") * F.lit(restock_factor)).cast("double"))
-    spine = m.select("product_id", "month", "opening",
+                     + F.ceil(F.coalesce(before, F.lit(0.0)) * F.lit(restock_factor)).cast("double"))
+    spine = m.select("product_id", "month", "opening", "days",
                      F.explode(F.sequence("month", F.last_day("month"))).alias("date"))
-    j = spine.join(d, ["product_id", "date"], "left").withColumn("total_sold", F.coalesce("sold", F.lit(0.0)))
+    j = spine.withColumn("total_sold", F.coalesce(F.try_element_at("days", F.col("date")), F.lit(0.0))).drop("days")
     taken = F.col("total_sold") if subtract_first_day else F.when(
         F.col("date") == F.col("month"), F.lit(0.0)).otherwise(F.col("total_sold"))
     w = Window.partitionBy("product_id", "month").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
@@ -93,7 +98,7 @@ def negative_stock_check(t: Tables) -> DataFrame:
 
 
 def product_price(t: Tables, cutoff: str = PRICE_CUTOFF) -> DataFrame:              # B-05
-    o = V.order_data(t).where(F.col("order_date") < F.to_timestamp(F.lit(cutoff)))
+    o = V.order_data(t, "product_id", "order_date", "sales", "order_item_quantity").where(F.col("order_date") < F.to_timestamp(F.lit(cutoff)))
     return o.groupBy("product_id").agg(
         F.try_divide(money_sum("sales"), F.sum("order_item_quantity")).alias("price"))
 
@@ -123,6 +128,19 @@ def supply_dashboard(t: Tables) -> dict[str, DataFrame]:
             "products": product_costs(t), "forecast": inv.annual_demand(t), "reorder": inv.understocked(t)}
 
 
+def written_dashboard(t: Tables) -> DataFrame:
+    """The bundle written beside the cluster's checkpoints and read again: rows and columns of every sheet."""
+    base = f"{checkpoint_dir(t.spark).rstrip('/')}/supply-dashboard-{uuid.uuid4().hex}"
+    sheets = supply_dashboard(t)
+    export_bundle(sheets, base)
+    out = None
+    for name in sheets:
+        back = t.spark.read.parquet(f"{base}/{name}")
+        rows = back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("sheet"), "rows", F.lit(len(back.columns)).alias("columns"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 QUERIES = {
     "b01_clean_orders": clean_orders,
     "b02_warehouse_location": warehouse_location,
@@ -131,4 +149,5 @@ QUERIES = {
     "b05_product_price": product_price,
     "b06_product_costs": product_costs,
     "b07_monthly_stock": monthly_stock,
+    "b08_supply_dashboard": written_dashboard,
 }

@@ -157,57 +157,62 @@ def reviews(t: Tables) -> DataFrame:
     )
 
 
-def order_data(t: Tables) -> DataFrame:
+#: Columns of order_data that the lines and their orders don't have, and the tables that do.
+_FROM_OTHERS = {"product_name": "part", "category_name": "part", "profit": "part", "product_price": "part",
+                "warehouse_country": "warehouse", "order_country": "place", "order_region": "place", "order_city": "place",
+                "order_state": "customer"}
+
+
+def order_data(t: Tables, *columns: str) -> DataFrame:
     """The supply-chain order table: one row per order item with product, warehouse,
-    customer place, shipping days and money columns."""
+    customer place, shipping days and money columns. With ``columns`` only those are
+    made, and only the tables that they come from are joined; foreign keys are taken
+    to be whole, so that a join left out drops no row."""
+    need = {_FROM_OTHERS[c] for c in columns if c in _FROM_OTHERS} if columns else {"part", "warehouse", "place", "customer"}
     n = _dim_nation(t)
-    wn = n.select(F.col("n_nationkey").alias("w_nationkey"), F.col("n_name").alias("warehouse_country"))
-    cn = n.select(F.col("n_nationkey").alias("cn_nationkey"), F.col("n_name").alias("order_country"),
-                  F.col("r_name").alias("order_region"))
-    li = t.lineitem
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    p = t.part.select("p_partkey", "p_name", "p_type", "p_retailprice")
-    s = t.supplier.select("s_suppkey", "s_nationkey")
-    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(p, F.col("l_partkey") == F.col("p_partkey"))
-         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(wn, F.col("s_nationkey") == F.col("w_nationkey"))
-         .join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .join(cn, F.col("c_nationkey") == F.col("cn_nationkey")))
+    j = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
+    if "part" in need:
+        j = j.join(t.part.select("p_partkey", "p_name", "p_type", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    if "warehouse" in need:
+        wn = n.select(F.col("n_nationkey").alias("w_nationkey"), F.col("n_name").alias("warehouse_country"))
+        j = j.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(
+            wn, F.col("s_nationkey") == F.col("w_nationkey"))
+    if need & {"place", "customer"}:
+        j = j.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    if "place" in need:
+        cn = n.select(F.col("n_nationkey").alias("cn_nationkey"), F.col("n_name").alias("order_country"), F.col("r_name").alias("order_region"))
+        j = j.join(cn, F.col("c_nationkey") == F.col("cn_nationkey"))
     real = F.datediff(F.col("l_shipdate"), F.col("o_orderdate")).cast("bigint")
     sched = F.col("l_linenumber").cast("bigint")
-    mode = F.element_at(F.array(*[F.lit(m) for m in SHIP_MODES]),
-                        (F.col("l_linenumber") % 4 + 1).cast("int"))
     total = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
-    return j.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("bigint").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category_name"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_suppkey").alias("warehouse_id"),
-        F.col("warehouse_country"),
-        F.col("order_country"),
-        F.col("order_region"),
-        F.col("c_mktsegment").alias("order_state"),
-        F.concat_ws(" ", F.col("order_country"), F.col("c_mktsegment")).alias("order_city"),
-        F.col("o_orderdate").alias("order_date"),
-        F.col("l_shipdate").alias("shipping_date"),
-        real.alias("days_for_shipping_real"),
-        sched.alias("days_for_shipment_scheduled"),
-        mode.alias("shipping_mode"),
-        F.when(real > sched, "Late delivery").when(real == sched, "Shipping on time")
-         .otherwise("Advance shipping").alias("delivery_status"),
-        status_name("o_orderstatus").alias("order_status"),
-        F.col("l_quantity").alias("order_item_quantity"),
-        F.col("l_extendedprice").alias("sales"),
-        F.col("l_discount").alias("discount_rate"),
-        total.alias("order_item_total"),
-        (total - F.col("p_retailprice") * F.col("l_quantity") * F.lit(0.5)).alias("profit"),
-        F.col("p_retailprice").alias("product_price"),
-    )
+    made = {
+        "order_id": F.col("l_orderkey"),
+        "order_item_id": F.col("l_linenumber").cast("bigint"),
+        "product_id": F.col("l_partkey"),
+        "product_name": F.col("p_name"),
+        "category_name": F.col("p_type"),
+        "customer_id": F.col("o_custkey"),
+        "warehouse_id": F.col("l_suppkey"),
+        "warehouse_country": F.col("warehouse_country"),
+        "order_country": F.col("order_country"),
+        "order_region": F.col("order_region"),
+        "order_state": F.col("c_mktsegment"),
+        "order_city": F.concat_ws(" ", F.col("order_country"), F.col("c_mktsegment")),
+        "order_date": F.col("o_orderdate"),
+        "shipping_date": F.col("l_shipdate"),
+        "days_for_shipping_real": real,
+        "days_for_shipment_scheduled": sched,
+        "shipping_mode": F.element_at(F.array(*[F.lit(m) for m in SHIP_MODES]), (F.col("l_linenumber") % 4 + 1).cast("int")),
+        "delivery_status": F.when(real > sched, "Late delivery").when(real == sched, "Shipping on time").otherwise("Advance shipping"),
+        "order_status": status_name("o_orderstatus"),
+        "order_item_quantity": F.col("l_quantity"),
+        "sales": F.col("l_extendedprice"),
+        "discount_rate": F.col("l_discount"),
+        "order_item_total": total,
+        "profit": total - F.col("p_retailprice") * F.col("l_quantity") * F.lit(0.5),
+        "product_price": F.col("p_retailprice"),
+    }
+    return j.select(*[made[c].alias(c) for c in columns or made])
 
 
 def product_info(t: Tables) -> DataFrame:

@@ -6,10 +6,10 @@ to 6 decimals like ``marketlens.plans.catalog.finalize`` does on the Spark side.
 
 from __future__ import annotations
 
-from oracle import basics, customers, fulfilment, generic, inventory, marketing, pricing, reviews, sales, sentiment, supply
+from oracle import basics, customers, fulfilment, generic, inventory, marketing, price_models, pricing, reviews, sales, sentiment, supply
 from oracle.views import with_views
 
-ORACLE_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, fulfilment, generic, basics, sentiment]
+ORACLE_MODULES = [sales, customers, marketing, reviews, supply, inventory, pricing, price_models, fulfilment, generic, basics, sentiment]
 
 
 def _wrap(sql: str, doubles: list[str]) -> str:

@@ -76,6 +76,32 @@ ROUTES = f"""
                        + {km('la2', 'lo2', 'd.latitude', 'd.longitude')} AS km FROM p JOIN {DEPOT} d ON p.warehouse_id = d.warehouse_id)
      SELECT * FROM r UNION ALL SELECT -1, -1, CAST(coalesce(sum(n_stops), 0) AS BIGINT), coalesce(sum(km), 0) FROM r)"""
 
+# Names without accents (the stand-ins have one accented letter), lower case, trimmed, without leading backticks.
+def _clean(c: str) -> str:
+    return f"regexp_replace(trim(lower(replace({c}, 'à', 'a'))), '^`+', '')"
+
+
+def _score(a: str, b: str) -> str:
+    longest = f"greatest(length({a}), length({b}))"
+    return (f"CAST(CASE WHEN {longest} = 0 THEN 100 ELSE round((CAST(1.0 AS DOUBLE) - levenshtein({a}, {b}) / CAST({longest} AS DOUBLE)) * 100) END AS BIGINT)")
+
+
+WORLD = f"(SELECT DISTINCT {_clean('country')} AS country, {_clean('admin_name')} AS state FROM v_world_cities)"
+PLACES = f"(SELECT DISTINCT {_clean('order_country')} AS country, {_clean('order_region')} AS state FROM v_order_data)"
+MATCHED = f"""
+    (WITH p AS {PLACES}, w AS {WORLD},
+          cc AS (SELECT a.country, b.country AS matched_country, {_score('a.country', 'b.country')} AS score
+                 FROM (SELECT DISTINCT country FROM p) a CROSS JOIN (SELECT DISTINCT country FROM w) b),
+          c AS (SELECT country, matched_country FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY score DESC, matched_country) AS k FROM cc
+                WHERE score >= 50) x WHERE k = 1),
+          pl AS (SELECT p.country, p.state, c.matched_country FROM p LEFT JOIN c ON p.country = c.country),
+          ss AS (SELECT q.matched_country, q.state, w.state AS matched_state, {_score('q.state', 'w.state')} AS matched_state_score
+                 FROM (SELECT DISTINCT matched_country, state FROM pl) q JOIN w ON q.matched_country = w.country),
+          s AS (SELECT matched_country, state, matched_state, matched_state_score FROM (SELECT *, row_number() OVER (
+                  PARTITION BY matched_country, state ORDER BY matched_state_score DESC, matched_state) AS k FROM ss WHERE matched_state_score >= 50) x WHERE k = 1)
+     SELECT pl.matched_country, pl.state, pl.country, s.matched_state, s.matched_state_score
+     FROM pl LEFT JOIN s ON pl.matched_country = s.matched_country AND pl.state = s.state)"""
+
 _DEAD_D = ["order_profit", "late_delivery_probability", "avg_shipping_time"]
 
 SQL = {
@@ -91,4 +117,16 @@ SQL = {
                         _DEAD_D + ["priority_score", "latitude", "longitude"]),
     "o12_assign_by_region": (f"SELECT * FROM {assign('order_region, order_state, order_city, order_id, order_item_id, product_id, order_profit')} x",
                              _DEAD_D + ["priority_score", "latitude", "longitude"]),
+    "o06_country_candidates": (f"""
+        SELECT country, candidate, score, CAST("rank" AS INTEGER) AS "rank" FROM (
+          SELECT *, row_number() OVER (PARTITION BY country ORDER BY score DESC, candidate) AS "rank" FROM (
+            SELECT a.country, b.country AS candidate, {_score('a.country', 'b.country')} AS score
+            FROM (SELECT DISTINCT country FROM {PLACES} p WHERE country NOT IN (SELECT country FROM {WORLD} w)) a
+            CROSS JOIN (SELECT DISTINCT country FROM {WORLD} w) b) c WHERE score >= 50) d WHERE "rank" <= 5""", []),
+    "o07_map_locations": (f"SELECT * FROM {MATCHED} m", []),
+    "o08_locate_cities": (f"""
+        SELECT m.country, m.state, m.matched_country, m.matched_state, c.lat AS latitude, c.lng AS longitude
+        FROM {MATCHED} m LEFT JOIN (SELECT matched_country, arg_min(lat, lat) AS lat, arg_min(lng, lat) AS lng FROM (
+          SELECT {_clean('country')} AS matched_country, lat, lng FROM v_world_cities) w GROUP BY 1) c ON m.matched_country = c.matched_country""",
+                          ["latitude", "longitude"]),
 }

@@ -96,4 +96,9 @@ SQL = {
              f AS (SELECT product_id, regr_slope(avg_score, idx) AS slope, regr_intercept(avg_score, idx) AS intercept FROM i GROUP BY 1)
         SELECT i.*, f.slope, f.intercept, f.intercept + f.slope * i.idx AS fitted FROM i JOIN f ON i.product_id = f.product_id""",
         ["avg_score", "idx", "slope", "intercept", "fitted"]),
+    "r10_avg_score_by_category": (f"""
+        WITH g AS (SELECT broad_category, round_even(avg(review_score) * CAST(100.0 AS DOUBLE), 0) / CAST(100.0 AS DOUBLE) AS avg_score FROM {REV} r GROUP BY 1)
+        SELECT * FROM g UNION ALL
+        SELECT 'Overall', round_even(CAST(sum(CAST(avg_score AS DECIMAL(34,12))) AS DOUBLE) / count(*) * CAST(100.0 AS DOUBLE), 0) / CAST(100.0 AS DOUBLE) FROM g
+        HAVING count(*) > 0""", ["avg_score"]),
 }
