@@ -34,9 +34,21 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.bool_, 0x110000)
 
 
-def _letter_vectors(points: np.ndarray, size: int, seed: int) -> np.ndarray:
-    """Row 0 is the blank's vector; the others follow ``points``."""
-    return np.stack([np.random.default_rng([seed, int(c)]).integers(0, 2, size) * 2 - 1 for c in (0, *points)]).astype(np.float32)
+class _Letters:
+    """The letters' random vectors, drawn once in a task and as letters come; one byte for each place."""
+
+    def __init__(self, size: int, seed: int):
+        self.size, self.seed = size, seed
+        self.rows: dict[int, np.ndarray] = {}
+
+    def vectors(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As they are for a trigram's third letter, rotated by one for its second, by two for its first. Row 0 is the
+        blank's vector; the others follow ``points``."""
+        for c in (0, *points.tolist()):
+            if c not in self.rows:
+                self.rows[c] = (np.random.default_rng([self.seed, c]).integers(0, 2, self.size) * 2 - 1).astype(np.int8)
+        v = np.stack([self.rows[c] for c in (0, *points.tolist())])
+        return v, np.roll(v, 1, 1), np.roll(v, 2, 1)
 
 
 def _trigrams(texts: list[str], letters: np.ndarray):
@@ -61,10 +73,13 @@ def _trigrams(texts: list[str], letters: np.ndarray):
     return used, doc[1:-1][ok] - 1, tri[ok], m
 
 
-def _vectors(codes: np.ndarray, m: int, used: np.ndarray, size: int, seed: int) -> np.ndarray:
+def _vectors(codes: np.ndarray, m: int, letters: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """The bound vectors of trigram codes."""
-    v = _letter_vectors(used, size, seed)
-    return np.roll(v, 2, 1)[codes // (m * m)] * np.roll(v, 1, 1)[codes // m % m] * v[codes % m]
+    third, second, first = letters
+    out = first[codes // (m * m)]
+    out *= second[codes // m % m]
+    out *= third[codes % m]
+    return out.astype(np.float32)
 
 
 def _blocks(batch):
@@ -86,7 +101,7 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
     step = max(1, CODES * DIMENSIONS // size)
 
     def bundle(batches):
-        letters, sums = _letters(), {}
+        letters, known, sums = _letters(), _Letters(size, seed), {}
         for batch in slices(batches):
             for langs, rows in _blocks(batch):
                 by: dict[str, list[str]] = {}
@@ -95,9 +110,10 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
                 for name, texts in by.items():
                     used, _, tri, m = _trigrams(texts, letters)
                     codes, counts = _counted(tri, m)
+                    drawn = known.vectors(used)
                     own = sums.setdefault(name, np.zeros(size))
                     for i in range(0, len(codes), step):
-                        own += counts[i:i + step].astype(np.float64) @ _vectors(codes[i:i + step], m, used, size, seed)
+                        own += counts[i:i + step].astype(np.float64) @ _vectors(codes[i:i + step], m, drawn)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([np.rint(v).astype(np.int64) for v in sums.values()],
                                                                              pa.list_(pa.int64()))], ["lang", "v"])
@@ -144,7 +160,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
     step = max(1, CODES * DIMENSIONS // max(1, size))
 
     def judge(batches):
-        letters = _letters()
+        letters, table = _letters(), _Letters(size, seed)
         known = np.array([prototypes[n] for n in names], np.float64)
         known = (known / np.linalg.norm(known, axis=1, keepdims=True)).T if names else known
         for batch in slices(batches):
@@ -153,6 +169,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                 used, doc, tri, m = _trigrams([t or "" for t in rows], letters)
                 if names and len(used):
                     codes, index = _ranked(tri, m ** 3)
+                    drawn = table.vectors(used)
                     edges = np.searchsorted(doc, np.arange(0, len(rows) + ROWS, ROWS))
                     for k in range(len(edges) - 1):
                         own = index[edges[k]:edges[k + 1]]
@@ -164,7 +181,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                         where = (doc[edges[k]:edges[k + 1]] - k * ROWS) * len(active) + at
                         counts = np.bincount(where, minlength=n * len(active)).reshape(n, len(active)).astype(np.float32)
                         for i in range(0, len(active), step):
-                            bundles += counts[:, i:i + step] @ _vectors(codes[active[i:i + step]], m, used, size, seed)
+                            bundles += counts[:, i:i + step] @ _vectors(codes[active[i:i + step]], m, drawn)
                         norm = np.linalg.norm(bundles, axis=1)
                         cos = bundles @ known / np.where(norm > 0, norm, 1)[:, None]
                         best = cos.argmax(axis=1)
