@@ -16,8 +16,9 @@ Other columns are not read. Texts are encoded whole.
 from __future__ import annotations
 
 import hashlib
-import json
 import os
+import sys
+import types
 import unicodedata
 import uuid
 from collections.abc import Sequence
@@ -32,27 +33,27 @@ from pyspark.sql import types as T
 from marketlens.llm.ranges import range_bounds, text_bytes
 from marketlens.llm.textops import give_back, short_batches, slices
 
-#: The dictionary is trained on this many documents (those of the least hashes), this much of each, at most.
+#: The dictionary is trained on this many documents (those of the least hashes), this much of each from a hashed place, at most.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1_000, 16_384, 64 << 10
 RANGE_BYTES, SHARD_BYTES, SHARD_DOCUMENTS = 64 << 20, 256 << 10, 8_192
 #: Parquet row groups of the shards: a task holds one while it writes or reads.
 GROUP_BYTES = 16 << 20
-#: Words kept with their ids in a task; beyond that it starts anew.
-KNOWN_WORDS = 600_000
+#: Bytes of words kept with their ids in a Python process, counted with what an entry costs; beyond that it starts anew.
+KEPT_BYTES, ENTRY_BYTES = 32 << 20, 220
 LEVEL = 3
 
 
-#: Words encoded by one call of the tokenizer.
-TOGETHER = 256
+#: Words encoded by one call of the tokenizer, and bytes of text whose new words are learned together.
+TOGETHER, RUN_BYTES = 256, 1 << 18
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
-def splits_at_blanks(tool, rest: dict) -> bool:
+def splits_at_blanks(tool) -> bool:
     """Whether a text's ids are those of its lower-cased words in order, and a word's those of its body and of the
     marks at its end: the tokenizer lower-cases, drops blanks, and keeps letters and marks apart."""
     ids = lambda t: tool.encode(t, add_special_tokens=False).ids
     body, marks = ids("ab"), [m.decode() for m in (_MARKS[i:i + 1] for i in range(len(_MARKS)))]
-    return "Lowercase" in json.dumps(rest.get("normalizer")) and all(ids(f"AB{m}") == body + ids(m) for m in marks) and all(
+    return "Lowercase" in repr(tool.normalizer) and all(ids(f"AB{m}") == body + ids(m) for m in marks) and all(
         ids(f"ab{m}{k}\t{m} 1ab") == body + ids(m + k) + ids(m) + ids("1ab") for m in marks for k in marks)
 
 
@@ -66,74 +67,113 @@ def _body(word: bytes) -> bytes:
 
 class _Words(dict):
     """word -> packed ids, filled as words come. Words that differ in the marks at their end share their body's ids;
-    bodies of letters are encoded many at a time and told apart by the ids that end a word."""
+    bodies of letters are encoded many at a time and told apart by the ids that end a word. Its size is bounded in bytes, and
+    it lives as long as its process, so that a task needn't learn what the one before it did."""
 
     def __init__(self, source: str, width: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         super().__init__()
-        self.tool, self.width, self.parts = Tokenizer.from_str(source), width, {b"": b""}
-        rest = json.loads(source)
-        self.apart = splits_at_blanks(self.tool, rest)
-        suffix = rest.get("model", {}).get("end_of_word_suffix")
+        self.tool, self.width, self.kept, self.marks = Tokenizer.from_str(source), width, 0, {b"": b""}
+        self.recurring: set[bytes] = set()
+        self.apart = splits_at_blanks(self.tool)
+        suffix = getattr(self.tool.model, "end_of_word_suffix", None)
         vocabulary = self.tool.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.special = [t.content.encode("utf-8").lower() for t in self.tool.get_added_tokens_decoder().values()]
 
     def pack(self, ids) -> bytes:
         return np.array(ids, self.width).tobytes()
 
-    def _encode(self, parts: list[bytes]) -> None:
-        texts = [p.decode("utf-8") for p in parts]
-        single = []
-        letters = [(p, t) for p, t in zip(parts, texts, strict=True) if t.isalpha()]
+    def _encoded(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of bodies and marks; none of them holds a blank."""
+        texts = b" ".join(parts).decode("utf-8").split(" ") if parts else []
+        alone = [not t.isalpha() for t in texts]
+        single = [x for x in zip(parts, texts, alone, strict=True) if x[2]]
+        letters = [x for x in zip(parts, texts, alone, strict=True) if not x[2]]
+        out, size = {}, np.dtype(self.width).itemsize
         for i in range(0, len(letters), TOGETHER):
             own = letters[i:i + TOGETHER]
-            ids = np.array(self.tool.encode_batch_fast([" ".join(t for _, t in own)], add_special_tokens=False)[0].ids, np.int64)
+            ids = np.array(self.tool.encode_batch_fast([" ".join([x[1] for x in own])], add_special_tokens=False)[0].ids, np.int64)
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) != len(own) or (len(last) and last[-1] != len(ids)):
                 single += own                                # a body of several of the tokenizer's words
                 continue
-            raw, size = self.pack(ids), np.dtype(self.width).itemsize
-            a = 0
-            for (p, _), b in zip(own, (last * size).tolist(), strict=True):
-                self.parts[p] = raw[a:b]
-                a = b
-        single += [(p, t) for p, t in zip(parts, texts, strict=True) if not t.isalpha()]
-        for (p, _), e in zip(single, self.tool.encode_batch_fast([t for _, t in single], add_special_tokens=False), strict=True):
-            self.parts[p] = self.pack(e.ids)
-
-    def learn(self, words: list[bytes]) -> None:
-        if len(self) > KNOWN_WORDS:
+            raw, to = self.pack(ids), (last * size).tolist()
+            out.update(zip([x[0] for x in own], [raw[a:b] for a, b in zip([0, *to[:-1]], to, strict=True)], strict=True))
+        for x, e in zip(single, self.tool.encode_batch_fast([x[1] for x in single], add_special_tokens=False), strict=True):
+            out[x[0]] = self.pack(e.ids)
+        return out
+
+    def learn(self, words: set[bytes]) -> None:
+        """Adds the words that aren't known yet. A table that has used up its bytes keeps the words that came again since it
+        last did so, unless they fill half of it."""
+        if self.kept > KEPT_BYTES:
+            again = {w: self[w] for w in self.recurring}
+            self.recurring.clear()
             self.clear()
-            self.parts = {b"": b""}
-        new = [(w, _body(w)) for w in dict.fromkeys(words) if w not in self]
-        need = dict.fromkeys(x for w, body in new for x in (body, w[len(body):]))
-        self._encode([x for x in need if x not in self.parts])
-        for w, body in new:
-            self[w] = self.parts[body] + self.parts[w[len(body):]]
+            if _size(again) <= KEPT_BYTES // 2:
+                self.update(again)
+            self.marks, self.kept = {b"": b""}, _size(self)
+        known = words.intersection(self)
+        self.recurring |= known
+        new = list(words - known)
+        bodies = [w.rstrip(_MARKS) for w in new]
+        marked = [(w, _body(w)) for w, b in zip(new, bodies, strict=True) if len(w) != len(b)]
+        need = {w for w, b in zip(new, bodies, strict=True) if len(w) == len(b)}
+        need.update(b for _, b in marked if b and b not in self)
+        ends = {w[len(b):] for w, b in marked}
+        ends.difference_update(self.marks)
+        found = self._encoded([*need, *ends])
+        self.marks.update((m, found[m]) for m in ends)
+        for m in ends - need:
+            del found[m]
+        for w, b in marked:
+            if len(b) != len(w):
+                found[w] = ((found.get(b) or self[b]) if b else b"") + self.marks[w[len(b):]]
+        self.update(found)
+        self.kept += _size(found)
+
+
+def _size(table: dict[bytes, bytes]) -> int:
+    return sum(map(len, table)) + sum(map(len, table.values())) + ENTRY_BYTES * len(table)
+
+
+def _kept_words(source: str, width: str) -> _Words:
+    """The process's words of this tokenizer."""
+    home = sys.modules.setdefault("_kept_token_words", types.ModuleType("_kept_token_words"))
+    key = (hashlib.sha256(source.encode("utf-8")).hexdigest(), width)
+    if getattr(home, "key", None) != key:
+        home.key, home.words = key, _Words(source, width)
+    return home.words
 
 
 def _encoder(tokenizer, width: str, end_id: int):
     """A function from a list of texts to their packed ids. Texts that may spell a special token are encoded whole."""
-    words = _Words(tokenizer.value, width)
+    words = _kept_words(tokenizer.value, width)
     end = np.array([end_id], width).tobytes()
-    special = [t.encode("utf-8") for t in {a.content for a in words.tool.get_added_tokens_decoder().values()}]
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        out = []
+        out: list[bytes] = []
+        run, used = [], 0
+
+        def settle():
+            words.learn(set().union(*[own for own, _ in run]))
+            out.extend([b"".join(map(words.__getitem__, own)) + end if whole is None else
+                        words.pack(words.tool.encode(whole, add_special_tokens=False).ids) + end for own, whole in run])
+            run.clear()
+
         for t in texts:
             raw = (t or "").encode("utf-8").lower()
-            if not words.apart or any(s.lower() in raw for s in special):
-                out.append(words.pack(words.tool.encode(t or "", add_special_tokens=False).ids) + end)
-                continue
-            own = raw.split()
-            try:
-                out.append(b"".join(map(words.__getitem__, own)) + end)
-            except KeyError:
-                words.learn(own)
-                out.append(b"".join(map(words.__getitem__, own)) + end)
+            whole = not words.apart or any(x in raw for x in words.special)
+            run.append(([], t or "") if whole else (raw.split(), None))
+            used += len(raw)
+            if used >= RUN_BYTES:
+                settle()
+                used = 0
+        settle()
         return out
 
     return encode
@@ -162,12 +202,15 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
         encode = _encoder(tokenizer, width, end_id)
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array(encode(b.column(0).to_pylist()), pa.binary())], ["ids"])
-        del encode
         give_back()
 
-    heads = rows.where(F.length("text") > 0).select("id", F.substring("text", 1, SAMPLE_CHARS).alias("head"))
-    sample = heads.orderBy(F.xxhash64("id"), "id", "head").limit(SAMPLE_DOCUMENTS)
-    samples = [bytes(r["ids"]) for r in sample.select("head").mapInArrow(plain, "ids binary").collect()]
+    # ids alone are ranked; then the few texts of the least hashes are read, of repeated ids as many as are wanted
+    rank = F.xxhash64(F.col("id"))
+    least = rows.select(rank.alias("r")).orderBy("r").limit(SAMPLE_DOCUMENTS).agg(F.max("r")).first()[0]
+    place = F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1).cast("int") + 1
+    sample = rows.where((rank <= F.lit(least)) & (F.length("text") > 0)).limit(SAMPLE_DOCUMENTS).select(
+        F.substr("text", place, F.lit(SAMPLE_CHARS)).alias("part"))
+    samples = sorted(bytes(r["ids"]) for r in sample.mapInArrow(plain, "ids binary").collect())
     trained = _train(samples)
     digest = hashlib.sha256(trained).hexdigest()
     shared = spark.sparkContext.broadcast(trained)
@@ -187,7 +230,6 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.searchsorted(cuts, key, side="left"), pa.int32()), ids, pa.array([len(p) // size for p in packed], pa.int64()),
                  pa.array([tool.compress(p) for p in packed], pa.binary())], ["bucket", "id", "n", "payload"])
-        del encode                                            # its words go before memory is given back
         give_back()
 
     coded = rows.mapInArrow(compress, "bucket int, id bigint, n bigint, payload binary").repartitionById(len(cuts) + 1, "bucket") \
