@@ -21,17 +21,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.textops import slices
+from marketlens.llm.textops import give_back, slices
 
 DIMENSIONS = 512
 SEED = 20_011
 #: Code points handled together, texts and trigrams (at DIMENSIONS) per matrix product.
-BLOCK, ROWS, CODES = 1 << 20, 64, 1 << 13
+BLOCK, ROWS, CODES = 1 << 18, 64, 1 << 11
 
 
-def _letters() -> np.ndarray:
-    """1 for every code point that is a letter."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.bool_, 0x110000)
+class _IsLetter:
+    """Whether code points are letters; asked once for each that comes."""
+
+    def __init__(self):
+        self.known = np.full(0x110000, -1, np.int8)
+
+    def __getitem__(self, points: np.ndarray) -> np.ndarray:
+        found = self.known[points]
+        new = np.unique(points[found < 0])
+        if len(new):
+            self.known[new] = [chr(c).isalpha() for c in new.tolist()]
+            found = self.known[points]
+        return found > 0
 
 
 class _Letters:
@@ -51,7 +61,7 @@ class _Letters:
         return v, np.roll(v, 1, 1), np.roll(v, 2, 1)
 
 
-def _trigrams(texts: list[str], letters: np.ndarray):
+def _trigrams(texts: list[str], letters: _IsLetter):
     """(code points used, document of each trigram, trigram code); a code is made of three letter indexes."""
     parts = [t.lower() for t in texts]
     cp = np.frombuffer(("\0" + "\0".join(parts) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -101,8 +111,8 @@ def learn_prototypes(train: DataFrame, text: str = "text", lang: str = "lang", s
     step = max(1, CODES * DIMENSIONS // size)
 
     def bundle(batches):
-        letters, known, sums = _letters(), _Letters(size, seed), {}
-        for batch in slices(batches):
+        letters, known, sums = _IsLetter(), _Letters(size, seed), {}
+        for batch in slices(batches, 128):
             for langs, rows in _blocks(batch):
                 by: dict[str, list[str]] = {}
                 for name, t in zip(langs.to_pylist(), rows, strict=True):
@@ -160,10 +170,10 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
     step = max(1, CODES * DIMENSIONS // max(1, size))
 
     def judge(batches):
-        letters, table = _letters(), _Letters(size, seed)
+        letters, table = _IsLetter(), _Letters(size, seed)
         known = np.array([prototypes[n] for n in names], np.float64)
         known = (known / np.linalg.norm(known, axis=1, keepdims=True)).T if names else known
-        for batch in slices(batches):
+        for batch in slices(batches, 128):
             for ids, rows in _blocks(batch):
                 pred, score = ["und"] * len(rows), np.zeros(len(rows))
                 used, doc, tri, m = _trigrams([t or "" for t in rows], letters)
@@ -189,6 +199,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], doc_id: str =
                         has[np.unique(doc[edges[k]:edges[k + 1]] - k * ROWS)] = True
                         for i in np.flatnonzero(has):
                             pred[k * ROWS + i], score[k * ROWS + i] = names[best[i]], min(max(cos[i, best[i]], 0.0), 1.0)
+                give_back()
                 own = [pa.array(rows, pa.string())] if keep_text else []
                 yield pa.RecordBatch.from_arrays([ids, pa.array(pred), pa.array(score), *own], ["doc_id", "lang_pred", "score", "text"][:3 + len(own)])
 

@@ -123,7 +123,10 @@ def _chosen(left: pa.Table, right: pa.Table, size: int):
     want = dict(zip(right.column("name").to_pylist(), right.column("id").to_pylist(), strict=True))
     want.pop(None, None)
     own = np.flatnonzero(np.isin(ids, np.array(list(want.values()), np.int64)))
-    ends, hashes = doc_sets(texts.take(pa.array(own)), size)
+    texts = texts.take(pa.array(own))                        # the others are given back
+    ends, hashes = doc_sets(texts, size)
+    del texts
+    give_back()
     out = []
     for k, name in enumerate(set_names(ends, hashes)):
         if name is not None and want.get(name) == ids[own[k]]:
@@ -251,10 +254,15 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, d
     wanted = classes.select(chunk_of("id", p.chunks).alias("chunk"), "id", "name")
 
     def count_lists(key, left, right):
-        hashes = [h for _, _, h in _chosen(left, right, size)]
-        short = p.short(np.sort(np.concatenate(hashes))) if hashes else np.zeros(0, np.uint64)
-        first = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])[:len(short)])
-        return as_table(list_rows(p, key[0].as_py(), short[first], np.diff(np.append(first, len(short)))), LISTS)
+        own = _chosen(left, right, size)
+        short = p.short(np.concatenate([h for _, _, h in own])) if own else np.zeros(0, np.uint64)
+        del own                                              # one array of a chunk's hashes at a time
+        short.sort()
+        first = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])[:len(short)]).astype(np.int32)
+        counts = np.diff(np.append(first, np.int32(len(short))))
+        short = short[first]
+        del first
+        return as_table(list_rows(p, key[0].as_py(), short, counts), LISTS)
 
     lists = packed.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(count_lists, LISTS)
     counts = cut_lineage(count_across(lists))
@@ -264,7 +272,9 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, d
         own = _chosen(left, right.filter(pa.array(~asked)), size)
         if not own:
             return as_table([], "id bigint, name binary, n bigint, hashes binary, rare array<bigint>")
-        known = distinct(p.short(np.sort(np.concatenate([h for _, _, h in own]))))
+        known = p.short(np.concatenate([h for _, _, h in own]))
+        known.sort()
+        known = distinct(known)
         often = answers(right.filter(pa.array(asked)))
         rows = []
         for i, name, h in own:
@@ -272,7 +282,8 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, d
             df = often[np.searchsorted(known, p.short(h))]
             if (df >= 2).sum() >= need(n, percent):          # else it has too little in common with all others
                 rank = np.lexsort([h, df])[:n - need(n, percent) + 1]
-                rows.append((i, name, n, h.tobytes(), h[rank[df[rank] >= 2]].view(np.int64).tolist()))
+                rows.append((i, name, n, h.tobytes(), h[rank[df[rank] >= 2]].view(np.int64)))
+        del own, known, often
         return as_table(rows, "id bigint, name binary, n bigint, hashes binary, rare array<bigint>")
 
     told = counts.select("chunk", "part", "counts", F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("binary").alias("name")).unionByName(

@@ -16,9 +16,9 @@ import pyarrow as pa
 #: The word delimiters of ``[^\x20\x09-\x0D]+``.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes of one pass over a batch: its temporary arrays then stay in the processor's cache.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Rows of a batch that goes to Python (short_batches).
-BATCH_ROWS = 1_000
+BATCH_ROWS = 256
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
