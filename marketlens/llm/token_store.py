@@ -31,20 +31,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.llm.ranges import range_bounds, text_bytes
-from marketlens.llm.textops import give_back, short_batches, slices
+from marketlens.llm.textops import give_back, runs, short_batches, slices, utf8
+from marketlens.llm.word_table import WordTable
 
 #: The dictionary is trained on this many documents (those of the least hashes), this much of each from a hashed place, at most.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1_000, 16_384, 64 << 10
 RANGE_BYTES, SHARD_BYTES, SHARD_DOCUMENTS = 64 << 20, 256 << 10, 8_192
 #: Parquet row groups of the shards: a task holds one while it writes or reads.
 GROUP_BYTES = 16 << 20
-#: Bytes of words kept with their ids in a Python process, counted with what an entry costs; beyond that it starts anew.
-KEPT_BYTES, ENTRY_BYTES = 32 << 20, 220
 LEVEL = 3
 
 
-#: Words encoded by one call of the tokenizer, and bytes of text whose new words are learned together.
-TOGETHER, RUN_BYTES = 256, 1 << 18
+#: Words encoded by one call of the tokenizer.
+TOGETHER = 256
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
@@ -65,17 +64,14 @@ def _body(word: bytes) -> bytes:
     return body if unicodedata.normalize("NFC", body.decode("utf-8")[-1]).lower().isalpha() else word
 
 
-class _Words(dict):
-    """word -> packed ids, filled as words come. Words that differ in the marks at their end share their body's ids;
-    bodies of letters are encoded many at a time and told apart by the ids that end a word. Its size is bounded in bytes, and
-    it lives as long as its process, so that a task needn't learn what the one before it did."""
+class _Words:
+    """Packed ids of words: words that differ in the marks at their end share their body's ids, and bodies of letters are
+    encoded many at a time and told apart by the ids that end a word."""
 
     def __init__(self, source: str, width: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        super().__init__()
-        self.tool, self.width, self.kept, self.marks = Tokenizer.from_str(source), width, 0, {b"": b""}
-        self.recurring: set[bytes] = set()
+        self.tool, self.width = Tokenizer.from_str(source), width
         self.apart = splits_at_blanks(self.tool)
         suffix = getattr(self.tool.model, "end_of_word_suffix", None)
         vocabulary = self.tool.get_vocab()
@@ -83,10 +79,14 @@ class _Words(dict):
         if suffix:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.special = [t.content.encode("utf-8").lower() for t in self.tool.get_added_tokens_decoder().values()]
+        self.table = WordTable(self.encode, width)
 
     def pack(self, ids) -> bytes:
         return np.array(ids, self.width).tobytes()
 
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tool.encode(text, add_special_tokens=False).ids)
+
     def _encoded(self, parts: list[bytes]) -> dict[bytes, bytes]:
         """Packed ids of bodies and marks; none of them holds a blank."""
         texts = b" ".join(parts).decode("utf-8").split(" ") if parts else []
@@ -107,42 +107,17 @@ class _Words(dict):
             out[x[0]] = self.pack(e.ids)
         return out
 
-    def learn(self, words: set[bytes]) -> None:
-        """Adds the words that aren't known yet. A table that has used up its bytes keeps the words that came again since it
-        last did so, unless they fill half of it."""
-        if self.kept > KEPT_BYTES:
-            again = {w: self[w] for w in self.recurring}
-            self.recurring.clear()
-            self.clear()
-            if _size(again) <= KEPT_BYTES // 2:
-                self.update(again)
-            self.marks, self.kept = {b"": b""}, _size(self)
-        known = words.intersection(self)
-        self.recurring |= known
-        new = list(words - known)
-        bodies = [w.rstrip(_MARKS) for w in new]
-        marked = [(w, _body(w)) for w, b in zip(new, bodies, strict=True) if len(w) != len(b)]
-        need = {w for w, b in zip(new, bodies, strict=True) if len(w) == len(b)}
-        need.update(b for _, b in marked if b and b not in self)
-        ends = {w[len(b):] for w, b in marked}
-        ends.difference_update(self.marks)
-        found = self._encoded([*need, *ends])
-        self.marks.update((m, found[m]) for m in ends)
-        for m in ends - need:
-            del found[m]
-        for w, b in marked:
-            if len(b) != len(w):
-                found[w] = ((found.get(b) or self[b]) if b else b"") + self.marks[w[len(b):]]
-        self.update(found)
-        self.kept += _size(found)
-
-
-def _size(table: dict[bytes, bytes]) -> int:
-    return sum(map(len, table)) + sum(map(len, table.values())) + ENTRY_BYTES * len(table)
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct words without blanks."""
+        bodies = [_body(w) for w in words]
+        need = dict.fromkeys(x for w, b in zip(words, bodies, strict=True) for x in (b, w[len(b):]) if x)
+        known = self._encoded(list(need))
+        known[b""] = b""
+        return [known[b] + known[w[len(b):]] for w, b in zip(words, bodies, strict=True)]
 
 
 def _kept_words(source: str, width: str) -> _Words:
-    """The process's words of this tokenizer."""
+    """The process's words of this tokenizer; they outlive a task, so that the next needn't learn them anew."""
     home = sys.modules.setdefault("_kept_token_words", types.ModuleType("_kept_token_words"))
     key = (hashlib.sha256(source.encode("utf-8")).hexdigest(), width)
     if getattr(home, "key", None) != key:
@@ -151,29 +126,28 @@ def _kept_words(source: str, width: str) -> _Words:
 
 
 def _encoder(tokenizer, width: str, end_id: int):
-    """A function from a list of texts to their packed ids. Texts that may spell a special token are encoded whole."""
+    """A function from a column of texts to their packed ids. Texts that may spell a special token are encoded whole."""
     words = _kept_words(tokenizer.value, width)
     end = np.array([end_id], width).tobytes()
+    size = np.dtype(width).itemsize
 
-    def encode(texts: list[str | None]) -> list[bytes]:
+    def encode(column: pa.Array) -> list[bytes]:
         out: list[bytes] = []
-        run, used = [], 0
-
-        def settle():
-            words.learn(set().union(*[own for own, _ in run]))
-            out.extend([b"".join(map(words.__getitem__, own)) + end if whole is None else
-                        words.pack(words.tool.encode(whole, add_special_tokens=False).ids) + end for own, whole in run])
-            run.clear()
-
-        for t in texts:
-            raw = (t or "").encode("utf-8").lower()
-            whole = not words.apart or any(x in raw for x in words.special)
-            run.append(([], t or "") if whole else (raw.split(), None))
-            used += len(raw)
-            if used >= RUN_BYTES:
-                settle()
-                used = 0
-        settle()
+        data, offsets = utf8(column)
+        for i, j in runs(offsets):
+            own, cuts = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+            if not words.apart:
+                out += [words.whole(t.as_py() or "") + end for t in column[i:j]]
+                continue
+            ids, ends = words.table.encode_run(own, cuts, end_id)
+            raw, at = ids.tobytes(), (ends * size).tolist()
+            out += [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+            seen = own.tobytes().lower()
+            if any(x in seen for x in words.special):
+                for k in range(i, j):
+                    text = column[k].as_py() or ""
+                    if any(x in text.encode("utf-8").lower() for x in words.special):
+                        out[k] = words.whole(text) + end
         return out
 
     return encode
@@ -201,7 +175,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
     def plain(batches):
         encode = _encoder(tokenizer, width, end_id)
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(encode(b.column(0).to_pylist()), pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(encode(b.column(0)), pa.binary())], ["ids"])
         give_back()
 
     # ids alone are ranked; then the few texts of the least hashes are read, of repeated ids as many as are wanted
@@ -225,7 +199,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, do
                                         write_checksum=False)
         size = np.dtype(width).itemsize
         for b in slices(batches):
-            ids, packed = b.column(0), encode(b.column(1).to_pylist())
+            ids, packed = b.column(0), encode(b.column(1))
             key = np.array([x if x is not None else -1 << 63 for x in ids.to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.searchsorted(cuts, key, side="left"), pa.int32()), ids, pa.array([len(p) // size for p in packed], pa.int64()),
@@ -299,14 +273,14 @@ _ROWS = "doc_id bigint, start bigint, ids binary"
 
 
 def _with_starts(shards: DataFrame, path: str) -> DataFrame:
-    """Shards with the number of ids before them: a range's shards know those before them in the range, and the ranges' sums are few."""
-    sums = shards.sparkSession.read.parquet(f"{path}/shards").groupBy("bucket").agg(F.sum("n_tokens").alias("n")).collect()
+    """Shards with the number of ids before them: a range's shards know those before them in the range, and the ranges' sums, a
+    row for each RANGE_BYTES of text, are broadcast."""
+    spark = shards.sparkSession
+    sums = spark.read.parquet(f"{path}/shards").groupBy("bucket").agg(F.sum("n_tokens").alias("n")).collect()
     totals = sorted((r["bucket"], r["n"]) for r in sums)
     ends = np.cumsum([0] + [n for _, n in totals]).tolist()
-    if not totals:
-        return shards.withColumn("start", F.col("before"))
-    start = F.create_map(*[F.lit(x) for (b, _), e in zip(totals, ends, strict=False) for x in (b, e)])
-    return shards.withColumn("start", F.element_at(start, F.col("bucket")) + F.col("before"))
+    bases = spark.createDataFrame([(b, e) for (b, _), e in zip(totals, ends, strict=False)], "bucket int, base bigint")
+    return shards.join(F.broadcast(bases), "bucket").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:

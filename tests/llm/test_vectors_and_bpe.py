@@ -291,3 +291,25 @@ def test_queries_on_given_tables(spark, library):
         deviation, w = want[r["vec_id"]][0]
         assert r["deviation"] == deviation and abs(abs(r["whitened"]) - abs(w[r["component"] - 1])) < 1e-7
         assert abs(r["explained"] / explained[r["component"] - 1] - 1) < 1e-9
+
+
+# -- words of the token store ---------------------------------------------------------------------------------------
+@pytest.mark.parametrize("entries", [3, 400_000])
+def test_word_table_equals_the_library(library, monkeypatch, entries):
+    """Words of all lengths and scripts, marks, control characters and special tokens; a table that starts anew all the time."""
+    import pyarrow as pa
+
+    from marketlens.llm import token_store, word_table
+    path, tool = library
+    monkeypatch.setattr(word_table, "ENTRIES", entries)
+    monkeypatch.setattr(word_table, "LONG_ENTRIES", entries)
+    words = token_store._Words(open(path, encoding="utf-8").read(), "<u2")
+    monkeypatch.setattr(token_store, "_kept_words", lambda *a: words)
+    encode = token_store._encoder(type("B", (), {"value": ""}), "<u2", 2)
+    rng = random.Random(entries)
+    pieces = PIECES + ["İ!", "İ.", "ÿ?", "Ā:", "ǅ;", "ȿ!", "ab", "über", "ça", "ſ", "ȧ", "é!", "é.", "×!", "÷.", "½.", "\x00", "a\x00", "x" * 17, "y" * 40, "naïve,", "漢.", "ə!", "ʼ.", " ", " ", "\n"]
+    for _ in range(30):
+        texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(60)] + [None, "", "  ", "word"]
+        got = encode(pa.array(texts, pa.string()))
+        for t, p in zip(texts, got, strict=True):
+            assert np.frombuffer(p, "<u2").tolist() == tool.encode(t or "", add_special_tokens=False).ids + [2], t
