@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,19 +22,24 @@ def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
     return sorted(set(found or []))
 
 
-def bucket_of(key: str, bounds: list[int]) -> Column:
-    """The number of bounds below the key, by binary search in a sorted literal; 0 for null."""
-    if not bounds:
-        return F.lit(0)
-    steps = max(1, len(bounds).bit_length())
-    arr = F.array(*[F.lit(b) for b in bounds])
-    # bounds are few enough to be literals; each step halves the candidates
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.shiftright(s.lo + s.hi, 1)
-        below = F.coalesce(F.get(arr, mid) < F.col(key), F.lit(False))
-        return F.when(s.lo >= s.hi, s).when(below, F.struct((mid + 1).alias("lo"), s.hi.alias("hi"))).otherwise(
-            F.struct(s.lo.alias("lo"), mid.alias("hi")))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s.lo)
+def range_tops(ids: DataFrame, bounds: np.ndarray) -> list[tuple[int, int | None]]:
+    """(range, largest key in it) of the ranges that have rows, null in the first; the one column of ``ids`` is the key. The
+    bounds go to the tasks as an array, not into the plan."""
+    shared = ids.sparkSession.sparkContext.broadcast(bounds)
+
+    def tops(batches):
+        best: dict[int, int | None] = {}
+        for b in batches:
+            key = b.column(0)
+            if key.null_count:
+                best.setdefault(0, None)
+            k = key.drop_null().to_numpy(zero_copy_only=False)
+            at = np.searchsorted(shared.value, k, side="left")
+            order = np.lexsort([k, at])
+            last = np.flatnonzero(np.diff(at[order], append=-1))
+            for r, top in zip(at[order][last].tolist(), k[order][last].tolist(), strict=True):
+                best[r] = top if best.get(r) is None else max(best[r], top)
+        yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array(list(best.values()), pa.int64())], ["b", "top"])
+
+    found = ids.mapInArrow(tops, "b int, top bigint").groupBy("b").agg(F.max("top").alias("top")).collect()
+    return [(r["b"], r["top"]) for r in found]

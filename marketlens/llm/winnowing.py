@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.ranges import bucket_of, range_bounds, text_bytes
+from marketlens.llm.ranges import range_bounds, range_tops, text_bytes
 from marketlens.llm.textops import slices
 
 GRAM, WINDOW = 16, 8
@@ -110,7 +110,8 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, doc_id
 
 def next_document_report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
                          range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Fingerprints of each text and of its edited text (``edited_text`` with the next document in descending id order).
+    """Fingerprints of each text and of its edited text (``edited_text`` with the next document in descending id order), with the
+    code points at which their grams begin.
 
     Documents are dealt into id ranges; a range's first document also goes, as a
     guest, to the end of the range before it (the very first to the last range),
@@ -119,12 +120,10 @@ def next_document_report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     n = max(1, -(-text_bytes(rows, "text") // range_bytes))
     bounds = range_bounds(rows, "id", n)
-    rank = lambda b: len(bounds) - b                                        # noqa: E731  descending ranges
-    lows = rows.select(bucket_of("id", bounds).alias("b"), "id").groupBy("b").agg(F.max("id").alias("top")).collect()
-    tops = {rank(r["b"]): r["top"] for r in lows}                           # a row for each range: at most len(bounds) + 1
+    cuts = np.array(bounds, np.int64)
+    tops = {len(cuts) - b: top for b, top in range_tops(rows.select("id"), cuts)}    # descending: a row for each range
     order = sorted(tops)
     host_of = {r: order[i - 1] for i, r in enumerate(order)}                # the range that a range's first document visits
-    cuts = np.array(bounds, np.int64)
 
     def deal(batches):
         for b in batches:
@@ -139,29 +138,28 @@ def next_document_report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW
     dealt = rows.mapInArrow(deal, "bucket int, guest int, id bigint, text string").repartitionById(len(bounds) + 1, "bucket") \
         .sortWithinPartitions("bucket", "guest", F.col("id").desc_nulls_last(), "text")
 
+    columns = {"doc_id": pa.int64(), "n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(), "edited_fingerprint": pa.string(),
+               "near_edited": pa.float64(), "near_next": pa.float64(), "positions": pa.list_(pa.int32()), "edited_positions": pa.list_(pa.int32())}
+
     def report(batches):
         held = None
-        for b in slices(batches):
-            out: dict[str, list] = {k: [] for k in ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                                                    "near_edited", "near_next")}
+        for b in slices(batches, 256):
+            out: dict[str, list] = {k: [] for k in columns}
             for bucket, guest, i, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if held is None and guest:
                     continue                                                # repeated rows of the first document
                 t = t or ""
-                own, _ = winnow(t, gram, window)
+                own, at = winnow(t, gram, window)
                 if held is not None:
-                    old, before, print_ = held
+                    old, before, print_, places = held
                     edited = edited_text(before, t)
-                    other, _ = winnow(edited, gram, window)
+                    other, there = winnow(edited, gram, window)
                     for k, v in zip(out, (old, len(before), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
                                           print_.astype(">u4").tobytes().hex(), other.astype(">u4").tobytes().hex(),
-                                          likeness(print_, other), likeness(print_, own)), strict=True):
+                                          likeness(print_, other), likeness(print_, own), places, there.astype(np.int32)), strict=True):
                         out[k].append(v)
-                held = None if guest else (i, t, own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["doc_id"], pa.int64()), pa.array(out["n_chars"], pa.int64()), *(pa.array(out[k], pa.string()) for k in (
-                    "edited_sha256", "fingerprint", "edited_fingerprint")), pa.array(out["near_edited"], pa.float64()),
-                 pa.array(out["near_next"], pa.float64())], list(out))
+                held = None if guest else (i, t, own, at.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(out[k], kind) for k, kind in columns.items()], list(out))
 
-    return dealt.mapInArrow(report, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-                            "edited_fingerprint string, near_edited double, near_next double")
+    return dealt.mapInArrow(report, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+                            "near_edited double, near_next double, positions array<int>, edited_positions array<int>")
