@@ -14,13 +14,16 @@ the same network over strings, adding within each character's class.
 
 Edge cases: a null text stays null, an empty text stays empty; a value that
 fails validation (check digit, calendar, octets, social security areas) is left
-alone, as is all other text; whatever is written as a telephone number is one; a document without values is unchanged. Very long texts are
+alone, as is all other text (domains of mail addresses, tokens and passwords too); whatever is written as a telephone
+number is one; a document without values is unchanged. Very long texts are
 handled whole. Repeated rows give one row each; other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
@@ -40,14 +43,15 @@ def _long(c: Column) -> Column:
     return c.cast("bigint")
 
 
-def _draw(key: str, tweak: Column, i: Column, y: Column) -> Column:
+def _draw(key: Column, tweak: Column, i: Column, y: Column) -> Column:
     """The round function: 60 bits of a keyed hash."""
-    said = F.concat_ws("|", F.lit(key), tweak, i.cast("string"), y.cast("string"))
+    said = F.concat_ws("|", key, tweak, i.cast("string"), y.cast("string"))
     return _long(F.conv(F.substring(F.sha2(said.cast("binary"), 256), 1, 15), 16, 10))
 
 
-def feistel(x: Column, p: Column, q: Column, key: str, tweak: Column) -> Column:
-    """Keyed permutation of [0, p * q)."""
+def feistel(x: Column, p: Column, q: Column, key: Column | str, tweak: Column) -> Column:
+    """Keyed permutation of [0, p * q); a key given as a string is the key itself."""
+    key = F.lit(key) if isinstance(key, str) else key
     start = F.struct(F.call_function("div", _long(x), _long(q)).alias("x"),
                      _long(F.pmod(x, q)).alias("y"), _long(p).alias("p"), _long(q).alias("q"))
     turn = lambda s, i: F.struct(s.y.alias("x"), _long(F.pmod(s.x + _draw(key, tweak, i, s.y), s.p)).alias("y"),
@@ -80,7 +84,7 @@ def _luhn_sum(digits: Column, doubled_last: bool) -> Column:
     return F.aggregate(F.transform(rev, term), F.lit(0), lambda a, b: a + b)
 
 
-def _card(m: Column, key: str) -> Column:
+def _card(m: Column, key: Column) -> Column:
     d = _digits(m)
     body = F.substr(d, F.lit(1), F.length(d) - 1)
     n = F.length(body)
@@ -92,7 +96,7 @@ def _card(m: Column, key: str) -> Column:
     return F.when((_luhn_sum(d, False) % 10 == 0) & ~d.rlike("^0+$"), _refill(m, F.concat(new, check)))
 
 
-def _phone(m: Column, key: str) -> Column:
+def _phone(m: Column, key: Column) -> Column:
     """Any ten digits are a number, whether or not an exchange has given it out."""
     d = _digits(m)
     own = F.right(d, F.lit(10))
@@ -105,7 +109,7 @@ def _div(x: Column, n: int) -> Column:
     return F.call_function("div", x, F.lit(n).cast("bigint"))
 
 
-def _social(m: Column, key: str) -> Column:
+def _social(m: Column, key: Column) -> Column:
     """Areas 001-899 without 666, groups 01-99, serials 0001-9999."""
     d = _digits(m)
     area, group, serial = (F.substr(d, F.lit(a), F.lit(n)).cast("bigint") for a, n in ((1, 3), (4, 2), (6, 4)))
@@ -116,7 +120,7 @@ def _social(m: Column, key: str) -> Column:
     return F.when((area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0), _refill(m, new))
 
 
-def _address(m: Column, key: str) -> Column:
+def _address(m: Column, key: Column) -> Column:
     """An address with leading zeros in an octet is no address."""
     o = F.split(m, r"\.")
     part = lambda i: F.get(o, F.lit(i)).cast("bigint")
@@ -125,7 +129,7 @@ def _address(m: Column, key: str) -> Column:
     return F.when(F.forall(o, lambda x: (x.cast("int") < 256) & ~x.rlike("^0[0-9]")), new)
 
 
-def _century(y: Column, m: Column, d: Column, key: str, build) -> Column:
+def _century(y: Column, m: Column, d: Column, key: Column, build) -> Column:
     """Permutes the days of the date's century: 36,524 = 92 * 397 days, or 36,525 = 75 * 487."""
     days = F.when(m == 2, F.when((y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0)), 29).otherwise(28)).when(
         m.isin(4, 6, 9, 11), 30).otherwise(31)
@@ -141,13 +145,13 @@ def _century(y: Column, m: Column, d: Column, key: str, build) -> Column:
     return F.when(valid & (first >= 100), build(F.date_format(new, "yyyy"), F.date_format(new, "MM"), F.date_format(new, "dd")))
 
 
-def _iso_date(m: Column, key: str) -> Column:
+def _iso_date(m: Column, key: Column) -> Column:
     at = lambda a, n: F.substr(m, F.lit(a), F.lit(n)).cast("int")
     a, b = F.substr(m, F.lit(5), F.lit(1)), F.substr(m, F.lit(8), F.lit(1))
     return F.when(a == b, _century(at(1, 4), at(6, 2), at(9, 2), key, lambda y, mo, d: F.concat(y, a, mo, b, d)))
 
 
-def _day_date(m: Column, key: str) -> Column:
+def _day_date(m: Column, key: Column) -> Column:
     """Month first between slashes where that is a date, else day first."""
     at = lambda a, n: F.substr(m, F.lit(a), F.lit(n)).cast("int")
     a, b = F.substr(m, F.lit(3), F.lit(1)), F.substr(m, F.lit(6), F.lit(1))
@@ -157,13 +161,13 @@ def _day_date(m: Column, key: str) -> Column:
         F.when(month_first, mm).otherwise(dd), a, F.when(month_first, dd).otherwise(mm), b, y)))
 
 
-def _classes(text: Column, key: str, tweak: str) -> Column:
+def _classes(text: Column, key: Column, tweak: str) -> Column:
     """Feistel over a string: each half's characters are shifted within their class (digits, lower or upper case
     letters; others stay) by a keyed hash of the other half."""
     digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
     def shifted(part: Column, other: Column, i: Column) -> Column:
-        seed = F.concat_ws("|", F.lit(key), F.lit(tweak), i.cast("string"), F.length(part).cast("string"), other)
+        seed = F.concat_ws("|", key, F.lit(tweak), i.cast("string"), F.length(part).cast("string"), other)
         bits = F.sha2(seed.cast("binary"), 512)
 
         def one(c: Column, k: Column) -> Column:
@@ -180,7 +184,7 @@ def _classes(text: Column, key: str, tweak: str) -> Column:
     return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), start, turn, lambda s: F.concat(s.x, s.y))
 
 
-def _mail(m: Column, key: str) -> Column:
+def _mail(m: Column, key: Column) -> Column:
     at = F.instr(m, "@")
     return F.concat(_classes(F.substr(m, F.lit(1), at - 1), key, "mail"), F.substr(m, at))
 
@@ -190,7 +194,7 @@ def _mod97(text: Column) -> Column:
         c.rlike("[0-9]"), F.pmod(a * 10 + c.cast("int"), F.lit(97))).otherwise(F.pmod(a * 100 + F.ascii(c) - 55, F.lit(97))))
 
 
-def _account(m: Column, key: str) -> Column:
+def _account(m: Column, key: Column) -> Column:
     """International account numbers: the part after the check digits is permuted and the check digits renewed."""
     land, check, own = F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(3), F.lit(2)), F.substr(m, F.lit(5))
     new = _classes(own, key, "account")
@@ -198,7 +202,7 @@ def _account(m: Column, key: str) -> Column:
                   F.concat(land, _pad(F.lit(98) - _mod97(F.concat(new, land, F.lit("00"))), 2), new))
 
 
-def pseudonym(m: Column, key: str) -> Column:
+def pseudonym(m: Column, key: Column) -> Column:
     """The pseudonym of one candidate, or null if it isn't a valid value."""
     whole = lambda p: m.rlike(f"^(?:{p})$")
     return (F.when(whole(MAIL), _mail(m, key)).when(whole(ACCOUNT), _account(m, key)).when(whole(PHONE), _phone(m, key))
@@ -206,11 +210,23 @@ def pseudonym(m: Column, key: str) -> Column:
             .when(whole(ADDRESS), _address(m, key)).when(whole(CARD), _card(m, key)))
 
 
-def pseudonymise(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, n_values): the text with its valid values replaced, and how many there were."""
+def make_key(spark: SparkSession, path: str) -> DataFrame:
+    """The key table (one row, column ``key``) of a path that all executors share; one with a random key is written if there is
+    none, so that values stay linked from run to run."""
+    spark.createDataFrame([(secrets.token_hex(32),)], "key string").coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema("key string").parquet(path)
+
+
+def pseudonymise(docs: DataFrame, key: str | DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text, n_values): the text with its valid values replaced, and how many there were. A key given as a table of one
+    row is joined (broadcast), so that it stands in no plan or log; one given as a string is a literal of the plan."""
     body = F.col("_t")
     has = body.rlike("[0-9@]")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t"))
+    if isinstance(key, DataFrame):
+        rows, key = rows.crossJoin(F.broadcast(key.select(F.col("key").alias("_k")))), F.col("_k")
+    else:
+        key = F.lit(key)
     found = rows.withColumn("_m", F.when(has, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))))
     new = found.withColumn("_n", F.when(F.size("_m") > 0, F.transform("_m", lambda m: pseudonym(m, key))))
     pieces = F.zip_with(F.split(body, ANY, -1), F.zip_with("_n", "_m", lambda n, m: F.coalesce(n, m)),

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from marketlens.llm import (bpe, centroids, decontaminate, html_main, language_id, mixing, pseudonyms, similarity_join, substring_dedup,
                             token_store, url_rules, whitening, winnowing)
 
+from marketlens.session import checkpoint_dir
+
 # The rules (host, path, action) that op6 judges by.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
              ("com", "/de/", "block"))
 #: The id that ends a document in the token store.
 END_ID = 2
-#: Session setting that holds the key of the pseudonyms; the value here is for runs that set none.
-PSEUDONYM_KEY = ("spark.marketlens.pseudonym.key", "no key was set")
+#: Session setting that names the table with the key of the pseudonyms; unset, one is made once beside the checkpoints.
+PSEUDONYM_KEY = "spark.marketlens.pseudonym.keytable"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +31,9 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal numbers, dates and addresses replaced."""
-    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), spark.conf.get(*PSEUDONYM_KEY))
+    path = spark.conf.get(PSEUDONYM_KEY, None)
+    key = spark.read.schema("key string").parquet(path) if path else pseudonyms.make_key(spark, f"{checkpoint_dir(spark).rstrip('/')}/pseudonym-key")
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), key)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
