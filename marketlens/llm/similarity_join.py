@@ -16,10 +16,13 @@ that scanning would read, by the lists' measured lengths.
 Before that, shingles are counted across chunks of documents (``chunks``); a set
 that has too few shingles in common with others can't link and drops out, and the
 counts give the order of rarity. A list is handled under its first document, so
-lists with the same first document share their work; a group of many members is
-cut into blocks, and each pair of blocks is a task of bounded size. A task returns
-a forest of the links it found, not the links, and components are computed from
-the forests, so a group of thousands of near copies makes no pairs.
+lists with the same first document share their work. The members of a large group
+are first compared with that document alone; those that link with it are one
+component, and only the others are compared with all, in blocks, each pair of
+blocks a task of bounded size. A task returns a forest of the links it found, not
+the links, and components are computed from the forests, so a group of near
+copies makes no pairs. A large group whose members don't link with its first
+document still takes a task for each pair of its blocks.
 
 Edge cases: null and empty texts have the empty set and are linked with nothing; a
 text of fewer words than a shingle is one shingle. Repeated rows and rows of one
@@ -46,6 +49,8 @@ from marketlens.llm.textops import give_back, lower_ascii, mix64, runs, utf8, wi
 WORDS, PERCENT = 5, 80
 #: Sets of a block; a task holds two blocks at most. Bytes of sets that a task should get if its groups are small.
 BLOCK, TASK_BYTES = 256, 2 << 20
+#: Pivots' sets up to this many bytes are broadcast; more are joined by shuffling.
+PIVOT_BYTES = 32 << 20
 #: Light sets have at most this many elements whatever the costs.
 LIGHT = 32
 
@@ -193,24 +198,61 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _cells(sets: DataFrame, lists: DataFrame, block: int, task_bytes: int) -> DataFrame:
-    """(bucket, family, pivot, lo, hi, name, hashes): the sets of each pair of blocks. A pair of a list of several blocks is a
-    task of its own, named by family, lo and hi; whole lists of one block share the buckets. lists: (token, id, name)."""
+def _overlapping(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two ascending sets link."""
+    at = np.searchsorted(b, a)
+    both = int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _pivot_links(big: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, name, linked) of the members of large families: whether a member links with its pivot. The pivots' sets are
+    broadcast while they are few; a family's members are spread by name."""
+    schema = "pivot binary, name binary, linked boolean"
+    heads = big.select("pivot").distinct().join(sets.select(F.col("name").alias("pivot"), F.col("hashes").alias("head")), "pivot")
+    few = (heads.agg(F.sum(F.octet_length("head"))).first()[0] or 0) <= PIVOT_BYTES
+
+    def compare(batches):
+        for b in batches:
+            pivot, name, own, head = (b.column(i).to_pylist() for i in range(4))
+            linked = [_overlapping(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(own, head, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(linked, pa.bool_())], ["pivot", "name", "linked"])
+
+    rows = big.select("pivot", "name").join(sets.select("name", "hashes"), "name")
+    return rows.join(F.broadcast(heads) if few else heads, "pivot").select("pivot", "name", "hashes", "head").mapInArrow(compare, schema)
+
+
+def _cells(sets: DataFrame, lists: DataFrame, percent: int, block: int, task_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """((bucket, family, pivot, lo, hi, name, hashes): the sets of each pair of blocks; (a, b): links already found).
+
+    A family of several blocks is first compared with its pivot. Members that link with it are one component: they need no
+    comparing among themselves, only with those that don't. So blocks of the others are paired with all blocks of the
+    family, each pair a task of its own, named by family, lo and hi. Whole families of one block share the buckets.
+    lists: (token, id, name)."""
     from marketlens.session import cut_lineage
     first = lists.groupBy("token").agg(F.min(F.struct("id", "name")).alias("first"), F.count("*").alias("k")).where("k > 1")
     members = lists.join(first.select("token", F.col("first.name").alias("pivot")), "token").select("pivot", "name").distinct()
     members = cut_lineage(members)
-    size = members.groupBy("pivot").count().where("count > 1").select("pivot", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    blocks = members.join(size, "pivot")
-    total = blocks.where("blocks = 1").join(sets.select("name", "n"), "name").agg(F.sum("n")).first()[0] or 0
+    size = members.groupBy("pivot").count().where("count > 1")
+    whole = members.join(size.where(F.col("count") <= block).select("pivot"), "pivot")
+    big = members.join(size.where(F.col("count") > block).select("pivot"), "pivot")
+    total = whole.join(sets.select("name", "n"), "name").agg(F.sum("n")).first()[0] or 0
     tasks = max(1, -(-8 * total // task_bytes))
-    # dealt by name before the copies are made: one large list is not copied by one task
-    cut = blocks.repartition("name").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cut.select(F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("pivot"), F.lit(tasks))).cast("int").alias("bucket"),
-                       F.when(F.col("blocks") > 1, F.col("pivot")).alias("family"), "pivot",
-                       F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "name")
-    return cells.join(sets.select("name", "hashes"), "name")
+    shared = whole.select(F.pmod(F.xxhash64("pivot"), F.lit(tasks)).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("family"), "pivot",
+                          F.lit(0).alias("lo"), F.lit(0).alias("hi"), "name")
+    known = cut_lineage(_pivot_links(big, sets, percent))
+    blocks = lambda c: F.ceil(F.count_if(c) / block).cast("int")
+    parts = known.groupBy("pivot").agg(blocks(~F.col("linked")).alias("others"), blocks(F.col("linked")).alias("ours")).where("others > 0")
+    # dealt by name before the copies are made: one large family is not copied by one task
+    cut = known.join(parts, "pivot").repartition("name")
+    h = F.xxhash64("name")
+    own = F.when(F.col("linked"), F.col("others") + F.pmod(h, F.col("ours"))).otherwise(F.pmod(h, F.col("others"))).cast("int")
+    last = F.when(F.col("linked"), F.col("others") - 1).otherwise(F.col("others") + F.col("ours") - 1)
+    cut = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    pairs = cut.select(F.lit(None).cast("int").alias("bucket"), F.col("pivot").alias("family"), "pivot", F.least("own", "other").alias("lo"),
+                       F.greatest("own", "other").alias("hi"), "name")
+    links = known.where(F.col("linked") & (F.col("name") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("name").alias("b"))
+    return shared.unionByName(pairs).join(sets.select("name", "hashes"), "name"), links
 
 
 def _heavy_links(sets: DataFrame, lists: DataFrame, percent: int, block: int, task_bytes: int) -> DataFrame:
@@ -230,7 +272,8 @@ def _heavy_links(sets: DataFrame, lists: DataFrame, percent: int, block: int, ta
                 out += [(names[rows[a]], names[rows[b]]) for a, b in link_forest([np.frombuffer(hashes[k].as_py(), np.uint64) for k in rows], percent)]
         return as_table(out, "a binary, b binary")
 
-    return _cells(sets, lists, block, task_bytes).groupBy("bucket", "family", "lo", "hi").applyInArrow(solve, "a binary, b binary")
+    cells, links = _cells(sets, lists, percent, block, task_bytes)
+    return links.unionByName(cells.groupBy("bucket", "family", "lo", "hi").applyInArrow(solve, "a binary, b binary"))
 
 
 def _boundary(stats: dict[str, float], percent: int) -> int:

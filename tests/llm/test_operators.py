@@ -63,6 +63,17 @@ def test_pseudonyms_are_valid_linked_and_reversible(spark):
     assert whole.distinct().count() == 898 * 11 and whole.agg(F.max("y")).first()[0] == 898 * 11 - 1
 
 
+def test_the_key_stands_in_no_plan(spark, tmp_path, capsys):
+    docs = frame(spark, [(1, "call (526) 555-9022 or 4035065943088454"), (1, "call (526) 555-9022"), (None, "x 30.151.72.215 " * 5_000)])
+    table = pseudonyms.make_key(spark, str(tmp_path / "key"))
+    key = table.first()["key"]
+    hidden, plain = pseudonyms.pseudonymise(docs, table), pseudonyms.pseudonymise(docs, key)
+    assert sorted(map(tuple, hidden.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    hidden.explain("extended")
+    assert key not in capsys.readouterr().out and pseudonyms.make_key(spark, str(tmp_path / "key")).first()["key"] == key
+    assert pseudonyms.pseudonymise(docs.where("false"), table).count() == 0 and len(key) == 64
+
+
 def test_telephone_numbers_of_any_area_are_replaced(spark):
     forms = ["+1 ({:03d}) {:03d}-7713", "1-{:03d}-{:03d}-0000", "({:03d}) {:03d} 0042", "{:03d}.{:03d}.9999"]
     numbers = [f.format(area, (area * 7 + 17) % 1000) for area in [*range(200), 526, 999] for f in forms]
@@ -199,21 +210,51 @@ def test_similar_groups_match_brute_force(spark, size, percent):
     assert sorted(map(tuple, got), key=str) == sorted(similarity_join.brute_force(docs, size, percent), key=str)
 
 
+def hashes(values):
+    return np.sort(np.array(values, np.uint64)).tobytes()
+
+
 def test_a_task_of_a_large_family_holds_two_blocks(spark):
+    """A family of 300 strangers (10 blocks), 150 families of two."""
     names = [f"{k:04d}".encode() for k in range(600)]
-    sets = spark.createDataFrame([(n, 4, bytes(32)) for n in names], "name binary, n int, hashes binary")
+    sets = spark.createDataFrame([(n, 4, hashes(range(4 * k, 4 * k + 4))) for k, n in enumerate(names)], "name binary, n int, hashes binary")
     rows = [(1, k, n) for k, n in enumerate(names[:300])] + [(2 + k // 2, k, n) for k, n in enumerate(names[300:])]
     lists = spark.createDataFrame(rows, "token long, id long, name binary")
-    cells = similarity_join._cells(sets, lists, 30, 640).collect()
+    cells, links = similarity_join._cells(sets, lists, 80, 30, 640)
     tasks = {}
-    for c in cells:
+    for c in cells.collect():
         tasks.setdefault((c["bucket"], c["family"], c["lo"], c["hi"]), []).append(c)
     family = [v for k, v in tasks.items() if k[1] is not None]
     small = [v for k, v in tasks.items() if k[1] is None]
-    assert len(family) == 55 and max(map(len, family)) < 4 * 30 and sum(map(len, family)) == 300 * 10   # 10 blocks, no set missing
+    assert links.count() == 0 and len(family) == 55 + 10 and max(map(len, family)) < 4 * 30     # 10 blocks, and the pivot's own with each
+    assert sum(map(len, family)) == 299 * 11 + 10                                                 # no set missing
     assert sum(map(len, small)) == 300 and 5 < len(small) <= 15 and max(map(len, small)) < 100
 
 
+def test_members_that_link_with_the_pivot_are_not_compared(spark):
+    """1,000 near copies of one set and 5 strangers in its lists: the copies meet the strangers only."""
+    r = random.Random(8)
+    base = list(range(1_000, 1_050))
+    own = [sorted([*base[:-2], 10_000 + 2 * k, 10_001 + 2 * k]) if k else base for k in range(1_000)] + [sorted([1_000, *range(50_000 + 60 * k, 50_049 + 60 * k)])
+                                                                                                         for k in range(5)]
+    names = [f"{k:05d}".encode() for k in range(len(own))]
+    sets = spark.createDataFrame([(n, 50, hashes(x)) for n, x in zip(names, own)], "name binary, n int, hashes binary")
+    rows = [(1_000, k, n) for k, n in enumerate(names)]
+    r.shuffle(rows)
+    lists = spark.createDataFrame(rows, "token long, id long, name binary")
+    cells, links = similarity_join._cells(sets, lists, 80, 100, 640)
+    assert links.count() == 999 and cells.count() == 5 * 11 + 1_000                               # one block of strangers, ten of copies
+    found = similarity_join._heavy_links(sets, lists, 80, 100, 640).distinct().collect()
+    roots = components(spark.createDataFrame(found)).groupBy("root").count().collect()
+    assert [x["count"] for x in roots] == [1_000]
+    for limit in (0, 1 << 30):                                                                    # pivots joined, and broadcast
+        similarity_join.PIVOT_BYTES, before = limit, similarity_join.PIVOT_BYTES
+        try:
+            assert similarity_join._cells(sets, lists, 80, 100, 640)[1].count() == 999
+        finally:
+            similarity_join.PIVOT_BYTES = before
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(1, 30)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -234,6 +275,9 @@ def test_winnowing(spark):
         edited = winnowing.edited_text(t or "", order[(k + 1) % len(order)][1] or "")
         assert got[i]["n_chars"] == len(t or "") and got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert (got[i]["near_edited"] == 1.0) if len(t or "") < 3 else (0 <= got[i]["near_edited"] <= 1)
+        for text, print_, places in ((t or "", "fingerprint", "positions"), (edited, "edited_fingerprint", "edited_positions")):
+            hashes, at = winnowing.winnow(text)
+            assert got[i][places] == at.tolist() and got[i][print_] == hashes.astype(">u4").tobytes().hex()
     assert winnowing.next_document_report(frame(spark, [(1, "abc")])).first()["near_next"] == 1.0
     assert winnowing.next_document_report(frame(spark, docs).where("false")).count() == 0
 
