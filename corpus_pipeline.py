@@ -1,7 +1,12 @@
 """The corpus pipeline: language ID, near duplicates, benchmark leaks, source mix, token files.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read again as the next
-one's docs; all but the last return the columns of the documents. Stages keep a row's other columns as they are.
+one's docs; all but the last return the columns of the documents. Stages keep a row's other columns as they are, whatever
+their names.
+
+Nulls and odd rows: a null or empty text, or one without letters, goes in the first stage; a null id or source stays
+(a null source is one of its own in the mix). Of rows that repeat an id and a text one goes on. An empty table passes
+through all stages and makes an empty store; with no labelled language nothing is learned and no document stays.
 """
 
 from __future__ import annotations
@@ -44,18 +49,24 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by four fifths of their 5-word shingles the one of the smallest id stays; of
-    rows that repeat an id and a text one stays. Rows without an id stay."""
+    """Of each group of documents linked by four fifths of their 5-word shingles the one of the smallest id stays (null ids
+    rank last, equal ids by a hash); of rows that repeat an id and a text one stays. Rows are told apart by a 64-bit hash of
+    id and text, so that rows of one id, or without an id, are judged each by its own text."""
     short_batches(spark)
-    groups = cut_lineage(similarity_join.similar_groups(docs))
-    drop = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    twice = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    key = "__row_key"
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text", F.col("doc_id").isNull()))
+    groups = cut_lineage(similarity_join.similar_groups(keyed, doc_id=key)).select(F.col("doc_id").alias(key), F.col("component_id").alias("_group"))
     small = lambda d: F.broadcast(d) if d.count() <= BROADCAST_IDS else d
-    kept = docs.join(small(drop), F.col("doc_id") == F.col("_id"), "left_anti")
-    again = small(twice)
-    once = kept.join(again, F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = kept.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(repeated)
+    shared = cut_lineage(groups.where(F.col(key) != F.col("_group")).select("_group").distinct())
+    members = cut_lineage(groups.join(small(shared), "_group").distinct())
+    named = members.join(keyed.select(key, "doc_id").distinct(), key)
+    stays = named.groupBy("_group").agg(F.min_by(key, F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias("_stays"))
+    drop = cut_lineage(members.join(stays, "_group").where(F.col(key) != F.col("_stays")).select(key))
+    twice = cut_lineage(groups.groupBy(key).count().where("count > 1").select(key))
+    kept, again = keyed.join(small(drop), key, "left_anti"), small(twice)
+    once = kept.join(again, key, "left_anti")
+    repeated = kept.join(again, key, "left_semi").dropDuplicates([key])
+    return once.unionByName(repeated).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
