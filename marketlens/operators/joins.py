@@ -92,24 +92,59 @@ def fuzzy_ratio(a: Column, b: Column) -> Column:
         F.round((F.lit(1.0) - d / m) * 100).cast("bigint"))
 
 
+def _bigrams(text: Column) -> Column:
+    """The pairs of neighbouring characters of a text with a mark before and after it, equal ones numbered: length + 1 of them."""
+    padded = F.concat(F.lit("\x01"), text, F.lit("\x01"))
+    grams = F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(padded, i, F.lit(2)))
+    return F.transform(grams, lambda g, i: F.concat(F.size(F.filter(F.slice(grams, 1, i + 1), lambda x: x == g)).cast("string"), g))
+
+
+def _shared_gram_pairs(q: DataFrame, c: DataFrame, block: Sequence[str], common) -> DataFrame:
+    """(block, _q, _c) of the pairs that share one of their rarest bigrams; ``common`` gives how many bigrams two texts must
+    share that can be alike, by the length of one. Of a text's n bigrams any n - common + 1 hold one that both have."""
+    each = lambda df, name: df.select(*block, F.col(name), F.explode(_bigrams(F.col(name))).alias("_g"))
+    qg, cg = each(q, "_q"), each(c, "_c")
+    often = qg.select(*block, "_g").unionByName(cg.select(*block, "_g")).groupBy(*block, "_g").agg(F.count(F.lit(1)).alias("_n"))
+
+    def rarest(grams: DataFrame, name: str) -> DataFrame:
+        w = Window.partitionBy(*block, name).orderBy("_n", "_g")               # the bigrams of one text
+        n = F.length(name)
+        return grams.join(often, [*block, "_g"]).withColumn("_k", F.row_number().over(w)).where(
+            F.col("_k") <= n + 2 - F.greatest(common(n), F.lit(1))).select(*block, name, "_g")
+
+    return rarest(qg, "_q").join(rarest(cg, "_c"), [*block, "_g"]).select(*block, "_q", "_c").distinct()
+
+
 def fuzzy_top_k(queries: DataFrame, q_col: str, candidates: DataFrame, c_col: str,
                 k: int = 5, min_score: int = 50, block: Sequence[str] = ()) -> DataFrame:  # J-10
     """Best k candidates with score >= min_score per query value.
 
-    No cross product: a score >= s (a rounded value, so s - 0.5 before rounding)
-    needs edit distance <= (1 - s/100) * max_len, and the length gap is a lower
-    bound of the distance, so each query length reaches only some candidate
-    lengths. The reachable pairs of lengths (a small table) make an equi-join on
-    (block keys, length). The pruning is exact: no pair that can reach the
-    threshold is skipped, and a threshold of 0 or less reaches all lengths.
+    No cross product. A score >= s (a rounded value, so s - 0.5 before rounding) allows
+    d = (1 - s / 100) * m edits for the longer length m. Each edit spoils two of the m + 1
+    padded bigrams, so the texts share at least m + 1 - 2 d of them, and pairs come from an
+    equi-join on (block, bigram) over each text's rarest ones. Where that number is below
+    one (long texts at a low score) an equi-join on the lengths that can reach each other
+    takes over. Both are exact: no pair that can reach the threshold is skipped.
     """
-    q = queries.select(*block, F.col(q_col).alias("_q"), F.length(q_col).alias("_lq")).distinct()
-    c = candidates.select(*block, F.col(c_col).alias("_c"), F.length(c_col).alias("_len")).distinct()
+    q = queries.select(*block, F.col(q_col).alias("_q")).where("_q IS NOT NULL").distinct()
+    c = candidates.select(*block, F.col(c_col).alias("_c")).where("_c IS NOT NULL").distinct()
     need = (min_score - 0.5) / 100.0 - 1e-9
-    lq, lc = q.select(*block, "_lq").distinct(), c.select(*block, "_len").distinct()
-    both = lq.join(lc, list(block)) if block else lq.crossJoin(lc)          # lengths only
-    reach = both.where(F.least("_lq", "_len") >= F.lit(need) * F.greatest("_lq", "_len"))
-    pairs = q.join(reach, [*block, "_lq"]).join(c, [*block, "_len"]).drop("_len", "_lq")
+    slope = 2.0 * need - 1.0
+    longest = F.greatest(F.length("_q"), F.length("_c"))
+    near = F.least(F.length("_q"), F.length("_c")) >= F.lit(need) * longest
+    common = lambda m: F.ceil(m * F.lit(slope) + F.lit(1.0 - 1e-9)).cast("int")
+    pairs = None
+    if need > 0:
+        worst = common if slope >= 0 else lambda n: common(n / F.lit(need))     # the partner that allows most edits
+        pairs = _shared_gram_pairs(q, c, block, worst).where(near & (common(longest) >= 1))
+    if slope < 0:
+        lq, lc = (df.select(*block, F.length(x).alias(n)).distinct() for df, x, n in ((q, "_q", "_lq"), (c, "_c", "_len")))
+        both = lq.join(lc, list(block)) if block else lq.crossJoin(lc)          # lengths only
+        m = F.greatest("_lq", "_len")
+        reach = both.where((F.least("_lq", "_len") >= F.lit(need) * m) & ((common(m) < 1) if need > 0 else F.lit(True)))
+        by_length = q.withColumn("_lq", F.length("_q")).join(reach, [*block, "_lq"]).join(
+            c.withColumn("_len", F.length("_c")), [*block, "_len"]).select(*block, "_q", "_c")
+        pairs = by_length if pairs is None else pairs.unionByName(by_length)
     scored = pairs.withColumn("score", fuzzy_ratio(F.col("_q"), F.col("_c"))).where(
         F.col("score") >= min_score)
     w = Window.partitionBy(*block, "_q").orderBy(F.desc("score"), F.asc("_c"))

@@ -188,8 +188,9 @@ def j10_similar_part_names(t: Tables) -> DataFrame:
 
 
 def j11_best_name_in_brand(t: Tables) -> DataFrame:
-    asked = t.part.where("p_type = 'PROMO'").select("p_brand", "p_name").distinct()
-    return J.fuzzy_best_in_block(asked, "p_name", t.part.where("p_type = 'SMALL'").select("p_brand", F.col("p_name").alias("other")), "other", ["p_brand"]) \
+    """Every part name written without its vowels, and the name of the same brand that it is most like."""
+    asked = t.part.select("p_brand", F.regexp_replace("p_name", "[aeiou]", "").alias("p_name")).distinct()
+    return J.fuzzy_best_in_block(asked, "p_name", t.part.select("p_brand", F.col("p_name").alias("other")), "other", ["p_brand"]) \
         .fillna({"match_score": 0})
 
 

@@ -80,8 +80,8 @@ SQL = {
              r AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY score DESC, candidate) AS rank FROM s WHERE score >= 50)
         SELECT * FROM r WHERE rank <= 5""", []),
     "j11_best_name_in_brand": (f"""
-        WITH q AS (SELECT DISTINCT p_brand, p_name FROM part WHERE p_type = 'PROMO'),
-             c AS (SELECT DISTINCT p_brand, p_name AS other FROM part WHERE p_type = 'SMALL'),
+        WITH q AS (SELECT DISTINCT p_brand, regexp_replace(p_name, '[aeiou]', '', 'g') AS p_name FROM part),
+             c AS (SELECT DISTINCT p_brand, p_name AS other FROM part),
              s AS (SELECT q.p_brand, q.p_name, other, {_SCORE.format(a='q.p_name', b='other')} AS score FROM q JOIN c ON q.p_brand = c.p_brand),
              r AS (SELECT *, row_number() OVER (PARTITION BY p_brand, p_name ORDER BY score DESC, other) AS k FROM s WHERE score >= 50)
         SELECT q.p_brand, q.p_name, r.other AS match, coalesce(r.score, 0) AS match_score

@@ -1,5 +1,10 @@
 """Generic operators: exactness against brute force and properties."""
 
+import math
+import random
+
+import pytest
+
 from pyspark.sql import functions as F
 
 from marketlens.operators import aggregates as A
@@ -23,6 +28,32 @@ def _ratio(a, b):
     return 100 if mx == 0 else int((1 - d[n] / mx) * 100 + 0.5)
 
 
+@pytest.mark.parametrize("min_score", [0, 20, 50, 67, 85, 100])
+def test_fuzzy_pairs_at_every_threshold(spark, min_score):
+    """Short, long and empty names over a small alphabet, in two blocks; all pairs scored by hand."""
+    rng = random.Random(min_score)
+    name = lambda: "".join(rng.choice("abé ") for _ in range(rng.choice([0, 1, 2, 4, 7, 7, 8, 130, 140])))
+    q, c = ([(rng.choice("xy"), name()) for _ in range(70)] + [("x", None)] for _ in range(2))
+    q += [(b, n[:-1] + "z") for b, n in c if n and len(n) > 3][:20]
+
+    def score(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        m = max(len(a), len(b))
+        return 100 if m == 0 else math.floor((1 - row[-1] / m) * 100 + 0.5)
+
+    want = set()
+    for b, x in {r for r in q if r[1] is not None}:
+        best = sorted((-score(x, y), y) for y in {y for k, y in c if k == b and y is not None})
+        want |= {(b, x, y, -s) for s, y in [p for p in best if -p[0] >= min_score][:3]}
+    df = lambda rows, n: spark.createDataFrame(rows, f"block string, {n} string")
+    got = J.fuzzy_top_k(df(q, "name"), "name", df(c, "other"), "other", k=3, min_score=min_score, block=["block"]).collect()
+    assert {(r["block"], r["name"], r["candidate"], r["score"]) for r in got} == want and len(got) == len(want)
+
+
 def test_fuzzy_top_k_matches_brute_force(spark):
     qs = ["brasil", "argentna", "chle", "peru", "x"]
     cs = ["brazil", "argentina", "chile", "peru", "paraguay", "uruguay", "bolivia"]
