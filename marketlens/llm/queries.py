@@ -73,9 +73,9 @@ def store_digest(read: DataFrame) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of every document, learned from those that aren't held out."""
+    """The language of every document, learned from those that aren't held out; a row without an id is not held out."""
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     known = language_id.collect_prototypes(language_id.learn_prototypes(docs.where(~held_out)))
     return language_id.identify(docs, known).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
