@@ -71,7 +71,9 @@ def _trigrams(texts: list[str], letters: _IsLetter):
     sym = np.where(letters[cp], cp, 0)
     keep = np.ones(len(cp), bool)                           # one blank for a run; a separator stays in its place
     keep[1:] = (sym[1:] != 0) | (sym[:-1] != 0) | edge[1:]
-    keep[:-1] &= ~((sym[:-1] == 0) & edge[1:] & ~edge[:-1])  # a text's last blank is its separator
+    sym, doc, edge = sym[keep], doc[keep], edge[keep]
+    keep = np.ones(len(sym), bool)
+    keep[:-1] = (sym[:-1] != 0) | ~edge[1:] | edge[:-1]      # a text's last blank is its separator
     sym, doc, edge = sym[keep], doc[keep], edge[keep]
     used = np.unique(sym)
     used = used[used > 0]
