@@ -88,24 +88,62 @@ def understocked(t: Tables, year: int = FORECAST_YEAR) -> DataFrame:
     return j.withColumn("understocked", (F.col("current_stock") < F.col("reorder_point")).cast("int"))
 
 
+def _part_rows(t: Tables) -> DataFrame:
+    """(product_id, parts): the product's rows as (each: storage and manufacturing cost, upto: their sums up to the row); one
+    row unless an id comes more than once. Rows with a price are first."""
+    p = V.product_info(t).select("product_id", "daily_storage_cost", "manufacturing_cost").where(F.col("product_id").isNotNull())
+    rows = p.groupBy("product_id").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("manufacturing_cost").isNull().alias("_n"), F.col("daily_storage_cost").isNull().alias("_s"),
+        F.col("daily_storage_cost").alias("store"), F.col("manufacturing_cost").alias("make")))).alias("_r"))
+    upto = lambda c, i: F.aggregate(
+        F.slice("_r", 1, i + 1), F.lit(None).cast("double"), lambda s, x: F.coalesce(s + x[c], s, x[c]))
+    return rows.select("product_id", F.transform("_r", lambda x, i: F.struct(
+        i.alias("at"), x["store"].alias("store"), x["make"].alias("make"), upto("store", i).alias("store_upto"), upto("make", i).alias("make_upto"))).alias("parts"))
+
+
 def holding_cost_actual(t: Tables, before: str = HOLDING_BEFORE) -> DataFrame:     # I-10
     """Implied orders and costs of the existing restocking, from the ledger:
     yesterday's stock (today's on a product's first day), expected = yesterday
-    - sold, an order when today's stock is above expected; running totals."""
-    s = B.stock_ledger(t).where(F.col("date") < F.to_date(F.lit(before)))
-    p = V.product_info(t).select("product_id", "daily_storage_cost", "manufacturing_cost")
-    j = s.join(p, "product_id")
+    - sold, an order when today's stock is above expected; running totals.
+
+    Windows run over the ledger's spans of equal stock (a row for each product-day with sales). What a span adds up to any of its
+    days follows from its two stocks, so days are written out last. A product of several rows in the product table has a row
+    for each on every day, the later ones with the same day's stock as yesterday's."""
+    end = F.to_date(F.lit(before))
+    s = B.ledger_spans(t).where((F.col("from") < end) & F.col("product_id").isNotNull())
+    s = s.withColumns({"early": F.datediff("date", "from"), "late": F.datediff("until", "date") + 1,
+                       "cur0": F.greatest("opening", F.lit(0.0)), "cur1": F.greatest("after", F.lit(0.0))})
     w = Window.partitionBy("product_id").orderBy("date")
-    y = F.coalesce(F.lag("current_stock", 1).over(w), F.col("current_stock"))
-    j = j.withColumn("expected", y - F.col("total_sold"))
-    j = j.withColumn("order_quantity", F.greatest(F.col("current_stock") - F.col("expected"), F.lit(0.0)))
-    j = j.withColumns({"manufacturing_cost_day": F.col("manufacturing_cost") * F.col("order_quantity"),
-                       "holding_cost": F.col("current_stock") * F.col("daily_storage_cost")})
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return j.select("product_id", "date", "current_stock", "total_sold", "order_quantity",
-                    "manufacturing_cost_day", "holding_cost",
-                    F.sum("manufacturing_cost_day").over(run).alias("total_manufacturing_cost"),
-                    F.sum("holding_cost").over(run).alias("total_holding_cost"))
+    over = lambda current, yesterday, sold: F.greatest(current - (yesterday - sold), F.lit(0.0))
+    none = F.lit(0.0)
+    s = s.withColumn("_y", F.lag("cur1").over(w))
+    s = s.withColumns({"open_order": F.when(F.col("early") > 0, over(F.col("cur0"), F.coalesce("_y", "cur0"), none)).otherwise(none),
+                       "sale_order": over(F.col("cur1"), F.when(F.col("early") > 0, F.col("cur0")).otherwise(F.coalesce("_y", "cur1")), F.col("sold")),
+                       "again_order": over(F.col("cur1"), F.col("cur1"), F.col("sold"))})
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    held = F.col("early") * F.col("cur0") + F.col("late") * F.col("cur1")
+    upto = lambda x: F.coalesce(F.sum(x).over(earlier), none)
+    s = s.withColumns({"_first": upto(F.col("open_order") + F.col("sale_order")), "_again": upto("again_order"), "_held": upto(held)})
+    j = s.join(_part_rows(t), "product_id")
+    j = j.select("*", F.explode(F.sequence("from", F.least("until", F.date_sub(end, 1)))).alias("day"))
+    j = j.select("*", F.explode("parts").alias("part"))
+    early, sale = F.col("day") < F.col("date"), F.col("day") == F.col("date")
+    first, all_ = F.col("parts")[0], F.element_at("parts", -1)
+    current = F.when(early, F.col("cur0")).otherwise(F.col("cur1"))
+    ordered = F.when(early, F.when((F.col("day") == F.col("from")) & (F.col("part.at") == 0), F.col("open_order")).otherwise(none)).when(
+        sale, F.when(F.col("part.at") == 0, F.col("sale_order")).otherwise(F.col("again_order"))).otherwise(none)
+    of_first = F.col("_first") + F.col("open_order") + F.when(early, none).otherwise(F.col("sale_order"))
+    # what the rows after the first add: on earlier sale days all of them, on this one those up to this row
+    rest = lambda x: x["make_upto"] - first["make_upto"]
+    again = F.col("_again") * rest(all_) + F.when(early, none).when(sale, F.col("again_order") * rest(F.col("part"))).otherwise(
+        F.col("again_order") * rest(all_))
+    days = F.when(early, F.datediff("day", "from")).otherwise(F.datediff("day", "date"))
+    held_before = F.col("_held") + F.when(early, none).otherwise(F.col("early") * F.col("cur0")) + days * current
+    return j.select("product_id", F.col("day").alias("date"), current.alias("current_stock"), F.when(sale, F.col("sold")).otherwise(none).alias("total_sold"),
+                    ordered.alias("order_quantity"), (F.col("part.make") * ordered).alias("manufacturing_cost_day"),
+                    (current * F.col("part.store")).alias("holding_cost"),
+                    (of_first * first["make_upto"] + again).alias("total_manufacturing_cost"),
+                    (held_before * all_["store_upto"] + current * F.col("part.store_upto")).alias("total_holding_cost"))
 
 
 def monthly_units_by_product(t: Tables, before: str = HOLDING_BEFORE) -> DataFrame:  # I-13

@@ -1,8 +1,8 @@
 """Supply-chain preparation (B-01 .. B-08).
 
-The daily stock ledger (B-03) is set-based: a calendar spine per
-product-month, a left join of the daily sales, and a running sum inside the
-product-month window (at most 31 rows per window, whatever the data size).
+The daily stock ledger (B-03) is set-based: windows over the days with sales give
+spans of equal stock, whose days are written out at the end (no window holds more
+rows than a product has days with sales, whatever the data size).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from marketlens.functions.numeric import round_half_even
 from marketlens.functions import text as TX
 from marketlens.functions.numeric import money_sum
 from marketlens.operators.aggregates import mode_per_key
-from marketlens.session import checkpoint_dir
+from marketlens.session import checkpoint_dir, dealt
 from marketlens.sources import standins as V
 from marketlens.sources.tables import Tables, export_bundle
 
@@ -65,31 +65,43 @@ def daily_units(t: Tables) -> DataFrame:
         F.sum("order_item_quantity").alias("sold"))
 
 
+def ledger_spans(t: Tables, initial_factor: float = INITIAL_FACTOR, restock_factor: float = RESTOCK_FACTOR,
+                 subtract_first_day: bool = False) -> DataFrame:
+    """The ledger before its days are written out: a row for each product-day with sales. It stands for the days from ``from``
+    (its month's first day, for the first sale of the month) to ``until``, the day before the next sale or the month's last:
+    stock ``opening`` before the sale's ``date``, ``after`` from then on; ``sold`` on that date alone.
+
+    Daily units are dealt by product and sorted once, by month and date; no window holds more than the days with sales."""
+    d = dealt(daily_units(t).where(F.col("date").isNotNull()), "product_id")
+    d = d.select("product_id", F.trunc("date", "MM").alias("month"), "date", "sold")
+    number = F.year("month") * 12 + F.month("month")
+    d = d.withColumns({"_m": number, "taken": F.coalesce("sold", F.lit(0.0)) if subtract_first_day else F.when(
+        F.col("date") == F.col("month"), F.lit(0.0)).otherwise(F.coalesce("sold", F.lit(0.0)))})
+    days = Window.partitionBy("product_id", "_m").orderBy("date")
+    months = Window.partitionBy("product_id").orderBy("_m")
+    d = d.withColumns({"previous": F.lag("date").over(days), "next": F.lead("date").over(days),
+                       "gone": F.sum("taken").over(days.rowsBetween(Window.unboundedPreceding, 0))})
+    d = d.withColumns({"month_units": F.sum("sold").over(months.rangeBetween(0, 0)), "month_before": F.sum("sold").over(months.rangeBetween(-1, -1))})
+    opening = (F.ceil(F.col("month_units") * F.lit(initial_factor)).cast("double")
+               + F.ceil(F.coalesce("month_before", F.lit(0.0)) * F.lit(restock_factor)).cast("double"))
+    return d.select("product_id", F.when(F.col("previous").isNull(), F.col("month")).otherwise(F.col("date")).alias("from"), "date",
+                    F.coalesce(F.date_sub("next", 1), F.last_day("month")).alias("until"), opening.alias("opening"),
+                    (opening - F.col("gone")).alias("after"), F.coalesce("sold", F.lit(0.0)).alias("sold"))
+
+
 def stock_ledger(t: Tables, initial_factor: float = INITIAL_FACTOR, restock_factor: float = RESTOCK_FACTOR,
                  subtract_first_day: bool = False) -> DataFrame:                   # B-03
     """Daily stock per product-month with sales: day 1 = initial + restock,
     later days minus the units sold (D-10: day-1 sales are not taken off unless
     ``subtract_first_day``); stock floored at 0 on output only.
 
-    The orders are read and joined once. Daily units, at most one row a day for each
-    product, are dealt by product; its months (with their days as a map), the month before
-    and the days follow without another shuffle or join."""
-    d = daily_units(t).repartition("product_id")
-    m = d.groupBy("product_id", F.trunc("date", "MM").alias("month")).agg(
-        F.sum("sold").alias("month_units"), F.map_from_entries(F.collect_list(F.struct("date", "sold"))).alias("days"))
-    by_month = Window.partitionBy("product_id").orderBy("month")           # as many rows as months
-    before = F.when(F.lag("month").over(by_month) == F.add_months("month", -1), F.lag("month_units").over(by_month))
-    m = m.withColumn("opening", F.ceil(F.col("month_units") * F.lit(initial_factor)).cast("double")
-                     + F.ceil(F.coalesce(before, F.lit(0.0)) * F.lit(restock_factor)).cast("double"))
-    spine = m.select("product_id", "month", "opening", "days",
-                     F.explode(F.sequence("month", F.last_day("month"))).alias("date"))
-    j = spine.withColumn("total_sold", F.coalesce(F.try_element_at("days", F.col("date")), F.lit(0.0))).drop("days")
-    taken = F.col("total_sold") if subtract_first_day else F.when(
-        F.col("date") == F.col("month"), F.lit(0.0)).otherwise(F.col("total_sold"))
-    w = Window.partitionBy("product_id", "month").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    raw = F.col("opening") - F.sum(taken).over(w)
-    return j.select("product_id", "date", raw.alias("raw_stock"),
-                    F.greatest(raw, F.lit(0.0)).alias("current_stock"), "total_sold")
+    The orders are read and joined once; what is sorted are the days with sales, which ``ledger_spans`` turns into spans of
+    equal stock. The days of a span are written out last, and no shuffle, sort or window follows."""
+    s = ledger_spans(t, initial_factor, restock_factor, subtract_first_day)
+    j = s.select("product_id", "opening", "after", "sold", F.col("date").alias("_sale"), F.explode(F.sequence("from", "until")).alias("date"))
+    raw = F.when(F.col("date") < F.col("_sale"), F.col("opening")).otherwise(F.col("after"))
+    return j.select("product_id", "date", raw.alias("raw_stock"), F.greatest(raw, F.lit(0.0)).alias("current_stock"),
+                    F.when(F.col("date") == F.col("_sale"), F.col("sold")).otherwise(F.lit(0.0)).alias("total_sold"))
 
 
 def negative_stock_check(t: Tables) -> DataFrame:                                   # B-04
