@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import special
 from marketlens.functions.special import digamma, log_gamma
 from marketlens.plans.customers import clv_repeat_buyers, clv_rfm
-from marketlens.session import cut_lineage
+from marketlens.session import cut_lineage, dealt
 from marketlens.sources.tables import Tables
 
 # The likelihoods go to tasks by value: executors need no copy of the library.
@@ -139,7 +139,7 @@ class Fit:
 
 def fit_purchases(customers: DataFrame) -> Fit | None:
     """BG/NBD fit of rows with frequency, recency and T (days); None without customers. Days are scaled to their mean age."""
-    cells = customers.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("n"))
+    cells = dealt(customers.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("n")), "frequency", "recency", "T")
     cells = cut_lineage(cells.select(*[F.col(c).cast("double").alias(c) for c in cells.columns]))
     s = cells.agg(F.sum("n").alias("n"), (F.sum(F.col("T") * F.col("n")) / F.sum("n")).alias("age")).first()
     if not s["n"]:
@@ -153,7 +153,7 @@ def fit_purchases(customers: DataFrame) -> Fit | None:
 
 def fit_spend(buyers: DataFrame) -> Fit | None:
     """Gamma-gamma fit of rows with positive frequency and monetary_value; values are scaled to their mean."""
-    cells = buyers.groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).alias("n"))
+    cells = dealt(buyers.groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).alias("n")), "frequency", "monetary_value")
     cells = cut_lineage(cells.select(*[F.col(c).cast("double").alias(c) for c in cells.columns]))
     s = cells.agg(F.sum("n").alias("n"), (F.sum(F.col("monetary_value") * F.col("n")) / F.sum("n")).alias("mean")).first()
     if not s["n"]:
@@ -239,7 +239,7 @@ def discounted_value(fit: Fit, spend: Fit, months: int = MONTHS, rate: float = R
 
 def clv_estimate(t: Tables, months: int = MONTHS, rate: float = RATE, fit: Fit | None = None, spend: Fit | None = None) -> DataFrame:   # C-22
     """Discounted value of every repeat buyer over the next months."""
-    buyers = clv_repeat_buyers(t)
+    buyers = dealt(clv_repeat_buyers(t), "customer_unique_id")
     fit, spend = fit or fit_purchases(clv_rfm(t)), spend or fit_spend(buyers)
     if fit is None or spend is None or months < 1:
         return buyers.select("customer_unique_id", F.lit(0.0).alias("clv"))
