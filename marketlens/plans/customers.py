@@ -271,8 +271,9 @@ def clv_rfm(t: Tables) -> DataFrame:
 GAMMA_GAMMA = {"p": 6.25, "q": 3.74, "v": 15.44}
 
 
-def clv_repeat_buyers(t: Tables) -> DataFrame:
-    r = clv_rfm(t)
+def clv_repeat_buyers(t: Tables, customers: DataFrame | None = None) -> DataFrame:
+    """Those of ``clv_rfm``, or of ``customers`` where that is at hand, with repeat purchases."""
+    r = clv_rfm(t) if customers is None else customers
     return r.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
 
 

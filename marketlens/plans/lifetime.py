@@ -2,13 +2,15 @@
 
 Purchases follow the beta-geometric / negative-binomial model (r, alpha, a, b; Fader, Hardie and Lee 2005), spend the
 gamma-gamma model (p, q, v). Both are fitted by maximum likelihood. Customers are reduced to cells of equal statistics with
-counts, written once; each step of the driver's optimiser is one Spark job that sums likelihood and gradient over the
-cells for several points at once. Nothing but those sums comes to the driver.
+counts, written once and packed; each step of the driver's optimiser is one Spark job that sums likelihood and gradient over the
+cells for several points at once. Nothing but those sums comes to the driver. Gamma functions are worked out once for each count
+of purchases in a batch of cells, the hypergeometric series of C-22 once for each count of purchases and age.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import math
 import sys
 from collections.abc import Callable
 
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import special
 from marketlens.functions.special import digamma, log_gamma
 from marketlens.plans.customers import clv_repeat_buyers, clv_rfm
-from marketlens.session import cut_lineage, dealt
+from marketlens.session import cut_lineage, dealt, kept
 from marketlens.sources.tables import Tables
 
 # The likelihoods go to tasks by value: executors need no copy of the library.
@@ -37,6 +39,8 @@ WIDEST = 12.0
 PENALTY = 1e-6
 #: Terms of the hypergeometric series.
 TERMS = 256
+#: Cells of one task of a fit, whose many short jobs take a task for each part.
+CELLS_A_TASK = 50_000
 DAYS, MONTHS, RATE, MONTH_DAYS = 365, 12, 0.01, 30
 
 
@@ -45,18 +49,20 @@ def purchase_likelihood(point: np.ndarray, cells: np.ndarray) -> tuple[np.ndarra
     """Cells are (repeat purchases x, last purchase tx, age T)."""
     r, alpha, a, b = np.exp(point)
     x, tx, age = cells.T
+    c, at = np.unique(x, return_inverse=True)                 # counts are few, cells many
     again = x > 0
     later = np.maximum(x - 1.0, 0.0)                          # x - 1 where it counts
-    alive = -(r + x) * np.log(alpha + age)
-    gone = np.where(again, np.log(a) - np.log(b + later) - (r + x) * np.log(alpha + tx), -np.inf)
+    log_age, log_tx = np.log(alpha + age), np.log(alpha + tx)
+    alive = -(r + x) * log_age
+    gone = np.where(again, np.log(a) - np.log(b + later) - (r + x) * log_tx, -np.inf)
     both = np.logaddexp(alive, gone)
     w = np.exp(gone - both)
-    value = (log_gamma(r + x) - log_gamma(r) + r * np.log(alpha) + log_gamma(a + b) + log_gamma(b + x) - log_gamma(b)
-             - log_gamma(a + b + x) + both)
-    in_r = digamma(r + x) - digamma(r) + np.log(alpha) - (1 - w) * np.log(alpha + age) - w * np.log(alpha + tx)
+    value = (log_gamma(r + c) - log_gamma(r) + r * np.log(alpha) + log_gamma(a + b) + log_gamma(b + c) - log_gamma(b)
+             - log_gamma(a + b + c))[at] + both
+    in_r = (digamma(r + c) - digamma(r) + np.log(alpha))[at] - (1 - w) * log_age - w * log_tx
     in_alpha = r / alpha - (r + x) * ((1 - w) / (alpha + age) + w / (alpha + tx))
-    in_a = digamma(a + b) - digamma(a + b + x) + w / a
-    in_b = digamma(a + b) + digamma(b + x) - digamma(b) - digamma(a + b + x) - w / (b + later)
+    in_a = (digamma(a + b) - digamma(a + b + c))[at] + w / a
+    in_b = (digamma(a + b) + digamma(b + c) - digamma(b) - digamma(a + b + c))[at] - w / (b + later)
     return value, np.stack([in_r * r, in_alpha * alpha, in_a * a, in_b * b], axis=1)
 
 
@@ -64,28 +70,44 @@ def spend_likelihood(point: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray,
     """Cells are (repeat purchases x, their mean value m)."""
     p, q, v = np.exp(point)
     x, m = cells.T
-    total = np.log(x * m + v)
-    value = (log_gamma(p * x + q) - log_gamma(p * x) - log_gamma(q) + q * np.log(v) + (p * x - 1) * np.log(m) + p * x * np.log(x)
-             - (p * x + q) * total)
-    in_p = x * (digamma(p * x + q) - digamma(p * x) + np.log(m) + np.log(x) - total)
-    in_q = digamma(p * x + q) - digamma(q) + np.log(v) - total
+    c, at = np.unique(x, return_inverse=True)
+    total, log_m = np.log(x * m + v), np.log(m)
+    value = (log_gamma(p * c + q) - log_gamma(p * c) - log_gamma(q) + q * np.log(v) + p * c * np.log(c))[at] + (p * x - 1) * log_m - (p * x + q) * total
+    in_p = x * ((digamma(p * c + q) - digamma(p * c) + np.log(c))[at] + log_m - total)
+    in_q = (digamma(p * c + q) - digamma(q) + np.log(v))[at] - total
     in_v = q / v - (p * x + q) / (x * m + v)
     return value, np.stack([in_p * p, in_q * q, in_v * v], axis=1)
 
 
-def summed(cells: DataFrame, likelihood: Callable, n: int) -> Callable[[list[np.ndarray]], tuple[np.ndarray, np.ndarray]]:
-    """A function from points to (values, gradients), means over ``n`` customers; the last column of cells is their count."""
+def packed(cells: DataFrame, n_cells: int) -> DataFrame:
+    """``cells`` as rows of many cells each, one binary column of doubles, written once: every step of a fit reads them. As few
+    parts as the cells need, so that a step has no more tasks than that."""
     width = len(cells.columns)
 
+    def pack(batches):
+        for batch in batches:
+            if len(batch):
+                m = np.stack([np.asarray(c, np.float64) for c in batch.columns], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array([width], pa.int32()), pa.array([m.tobytes()], pa.binary())], ["width", "cells"])
+
+    parts = max(math.ceil(n_cells / CELLS_A_TASK), 1)
+    return cut_lineage(cells.coalesce(parts).mapInArrow(pack, "width int, cells binary"))
+
+
+def summed(cells: DataFrame, likelihood: Callable, n: int) -> Callable[[list[np.ndarray]], tuple[np.ndarray, np.ndarray]]:
+    """A function from points to (values, gradients), means over ``n`` customers; ``cells`` are packed, and the last number of
+    each is their count."""
+
     def evaluate(points: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         def add(batches):
             out = np.zeros((len(points), len(points[0]) + 1))
             for batch in batches:
-                m = np.stack([np.asarray(c, np.float64) for c in batch.columns], axis=1) if len(batch) else np.zeros((0, width))
-                for i, point in enumerate(points):
-                    value, slope = likelihood(point, m[:, :-1])
-                    out[i, 0] += m[:, -1] @ value
-                    out[i, 1:] += m[:, -1] @ slope
+                for width, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    m = np.frombuffer(data, np.float64).reshape(-1, width)
+                    for i, point in enumerate(points):
+                        value, slope = likelihood(point, m[:, :-1])
+                        out[i, 0] += m[:, -1] @ value
+                        out[i, 1:] += m[:, -1] @ slope
             i, k = np.indices(out.shape)
             yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(k.ravel(), pa.int32()), pa.array(out.ravel())], ["i", "k", "v"])
 
@@ -141,12 +163,12 @@ def fit_purchases(customers: DataFrame) -> Fit | None:
     """BG/NBD fit of rows with frequency, recency and T (days); None without customers. Days are scaled to their mean age."""
     cells = dealt(customers.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("n")), "frequency", "recency", "T")
     cells = cut_lineage(cells.select(*[F.col(c).cast("double").alias(c) for c in cells.columns]))
-    s = cells.agg(F.sum("n").alias("n"), (F.sum(F.col("T") * F.col("n")) / F.sum("n")).alias("age")).first()
+    s = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n"), (F.sum(F.col("T") * F.col("n")) / F.sum("n")).alias("age")).first()
     if not s["n"]:
         return None
     unit = s["age"] or 1.0
     scaled = cells.select("frequency", (F.col("recency") / unit).alias("tx"), (F.col("T") / unit).alias("age"), "n")
-    point, value, done = maximise(summed(scaled, purchase_likelihood, s["n"]), np.zeros(4))
+    point, value, done = maximise(summed(packed(scaled, s["cells"]), purchase_likelihood, s["n"]), np.zeros(4))
     r, alpha, a, b = np.exp(point).tolist()
     return Fit("purchases", {"r": r, "alpha": alpha * unit, "a": a, "b": b}, value, int(s["n"]), done)
 
@@ -155,11 +177,11 @@ def fit_spend(buyers: DataFrame) -> Fit | None:
     """Gamma-gamma fit of rows with positive frequency and monetary_value; values are scaled to their mean."""
     cells = dealt(buyers.groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).alias("n")), "frequency", "monetary_value")
     cells = cut_lineage(cells.select(*[F.col(c).cast("double").alias(c) for c in cells.columns]))
-    s = cells.agg(F.sum("n").alias("n"), (F.sum(F.col("monetary_value") * F.col("n")) / F.sum("n")).alias("mean")).first()
+    s = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n"), (F.sum(F.col("monetary_value") * F.col("n")) / F.sum("n")).alias("mean")).first()
     if not s["n"]:
         return None
     scaled = cells.select("frequency", (F.col("monetary_value") / s["mean"]).alias("m"), "n")
-    point, value, done = maximise(summed(scaled, spend_likelihood, s["n"]), np.log([2.0, 2.0, 1.0]))
+    point, value, done = maximise(summed(packed(scaled, s["cells"]), spend_likelihood, s["n"]), np.log([2.0, 2.0, 1.0]))
     p, q, v = np.exp(point).tolist()
     return Fit("spend", {"p": p, "q": q, "v": v * s["mean"]}, value, int(s["n"]), done)
 
@@ -187,20 +209,34 @@ def hypergeometric(a: Column, b: Column, c: Column, z: Column, terms: int = TERM
     return out.total, F.when(worst < 1.0, F.abs(out.term) * worst / (1.0 - worst))
 
 
-def expected_purchases(fit: Fit, t: Column | float, x: Column, tx: Column, age: Column) -> tuple[Column, Column]:
-    """(expected purchases in the next t days, error bound) of a customer with x repeat purchases, the last at tx, of that age.
-    By Euler's transformation the series has no x above the line, so a few terms do for loyal customers too."""
-    r, alpha, b = (F.lit(fit.values[k]) for k in ("r", "alpha", "b"))
+def _above(fit: Fit) -> float:
     above = fit.values["a"] - 1.0
-    above = F.lit(above if abs(above) > 1e-6 else 1e-6)      # a = 1 is a removable gap
+    return above if abs(above) > 1e-6 else 1e-6              # a = 1 is a removable gap
+
+
+def death_free_share(fit: Fit, t: Column | float, x: Column, age: Column) -> tuple[Column, Column]:
+    """(share, error bound): the part of an expectation over the next t days that the series is needed for; the last purchase has
+    no place in it. By Euler's transformation the series has no x above the line, so a few terms do for loyal customers too."""
+    r, alpha, b, above = F.lit(fit.values["r"]), F.lit(fit.values["alpha"]), F.lit(fit.values["b"]), F.lit(_above(fit))
     days = F.lit(float(t)) if isinstance(t, (int, float)) else t
     z = days / (alpha + age + days)
-    whole = above + b + x
-    series, left_out = hypergeometric(above + b - r, above, whole, z)
+    series, left_out = hypergeometric(above + b - r, above, above + b + x, z)
     power = F.pow(F.lit(1.0) - z, above)
+    return F.lit(1.0) - power * series, power * left_out
+
+
+def alive_scale(fit: Fit, x: Column, tx: Column, age: Column) -> Column:
+    """What a share is multiplied by for a customer with x repeat purchases, the last at tx, of that age."""
+    r, alpha, b, above = F.lit(fit.values["r"]), F.lit(fit.values["alpha"]), F.lit(fit.values["b"]), F.lit(_above(fit))
     dead = F.when(x > 0, (above + F.lit(1.0)) / (b + x - 1.0) * F.pow((alpha + age) / (alpha + tx), r + x)).otherwise(F.lit(0.0))
-    scale = whole / above / (F.lit(1.0) + dead)
-    return scale * (F.lit(1.0) - power * series), F.abs(scale * power) * left_out
+    return (above + b + x) / above / (F.lit(1.0) + dead)
+
+
+def expected_purchases(fit: Fit, t: Column | float, x: Column, tx: Column, age: Column) -> tuple[Column, Column]:
+    """(expected purchases in the next t days, error bound) of a customer with x repeat purchases, the last at tx, of that age."""
+    share, left_out = death_free_share(fit, t, x, age)
+    scale = alive_scale(fit, x, tx, age)
+    return scale * share, F.abs(scale) * left_out
 
 
 _CELL = ("frequency", "recency", "T")
@@ -222,29 +258,38 @@ def clv_expected_purchases(t: Tables, days: float = DAYS, fit: Fit | None = None
         "customer_unique_id", "expected_purchases", "error_bound")
 
 
-def discounted_value(fit: Fit, spend: Fit, months: int = MONTHS, rate: float = RATE) -> tuple[Column, Column]:
-    """(expected purchases up to the end of each month, to be named _ends; the sum over the months of what each adds times the
-    expected spend, discounted by month) of a row with the statistics."""
+def shares_by_month(fit: Fit, customers: DataFrame, months: int = MONTHS) -> DataFrame:
+    """(frequency, T, _ends): the shares of expectations up to the end of each month, from 0 on. They don't depend on the last
+    purchase, so the series is worked out once for each count of purchases and age in days, whatever the number of customers."""
+    x, _, age = _statistics()
+    until = lambda i: death_free_share(fit, i.cast("double") * MONTH_DAYS, x, age)[0]
+    cells = dealt(customers.select("frequency", "T").distinct(), "frequency", "T")
+    return cut_lineage(cells.select("frequency", "T", F.transform(F.sequence(F.lit(0), F.lit(months)), until).alias("_ends")))
+
+
+def discounted_value(fit: Fit, spend: Fit, months: int = MONTHS, rate: float = RATE) -> Column:
+    """The sum over the months of the purchases expected in each times the expected spend, discounted by month, of a row with the
+    statistics and _ends."""
     p, q, v = (F.lit(spend.values[k]) for k in ("p", "q", "v"))
     x, m = F.col("frequency").cast("double"), F.col("monetary_value")
     each = p * (v + x * m) / (p * x + q - 1.0)
-    until = lambda i: expected_purchases(fit, i.cast("double") * MONTH_DAYS, *_statistics())[0]
-    ends = F.transform(F.sequence(F.lit(0), F.lit(months)), until)
+    scale = alive_scale(fit, *_statistics())
 
     def add(s: Column, i: Column) -> Column:
         return s + (F.get(F.col("_ends"), i) - F.get(F.col("_ends"), i - 1)) / F.pow(F.lit(1.0 + rate), i)
 
-    return ends, F.when(p * x + q > 1.0, each) * F.aggregate(F.sequence(F.lit(1), F.lit(months)), F.lit(0.0), add)
+    return F.when(p * x + q > 1.0, each) * scale * F.aggregate(F.sequence(F.lit(1), F.lit(months)), F.lit(0.0), add)
 
 
 def clv_estimate(t: Tables, months: int = MONTHS, rate: float = RATE, fit: Fit | None = None, spend: Fit | None = None) -> DataFrame:   # C-22
     """Discounted value of every repeat buyer over the next months."""
-    buyers = dealt(clv_repeat_buyers(t), "customer_unique_id")
-    fit, spend = fit or fit_purchases(clv_rfm(t)), spend or fit_spend(buyers)
+    customers = kept(clv_rfm(t))
+    buyers = clv_repeat_buyers(t, customers)
+    fit, spend = fit or fit_purchases(customers), spend or fit_spend(buyers)
     if fit is None or spend is None or months < 1:
         return buyers.select("customer_unique_id", F.lit(0.0).alias("clv"))
-    ends, value = discounted_value(fit, spend, months, rate)
-    return buyers.withColumn("_ends", ends).select("customer_unique_id", value.alias("clv"))
+    ends = buyers.join(shares_by_month(fit, buyers, months), ["frequency", "T"], "left")
+    return ends.select("customer_unique_id", discounted_value(fit, spend, months, rate).alias("clv"))
 
 
 QUERIES = {
