@@ -1,8 +1,12 @@
 """Steps over review texts that had to grow no faster than their input: brute force on odd rows, and what their plans may hold."""
 
 import datetime as dt
+import hashlib
+import math
+import random
+import re
 
-from marketlens.plans import reviews
+from marketlens.plans import reviews, sentiment
 from marketlens.sources.tables import SCHEMAS, Tables
 
 
@@ -43,3 +47,52 @@ def test_heavy_text_steps_are_dealt(spark):
     t = made(spark, documents=[], labels=[], events=[], part=[], lineitem=[])
     plan = reviews.clean_reviews(t)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan
+
+
+def odd_reviews(spark):
+    """Ids that come twice, texts without words, null texts and ids, documents without lines, labels that come twice."""
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice(["alpha", "Beta", "gamma!!", "delta", "walking", "cities", f"w{i}"]) for _ in range(rng.randint(1, 12))), rng.choice(["xx", "en", None]), None, 1)
+            for i in range(60)]
+    docs += [(3, "beta beta cats", "en", None, 1), (3, "alpha ??", "xx", None, 1), (60, "", "en", None, 1), (61, None, "en", None, 1), (None, "alpha", "en", None, 1), (99, "alpha", "en", None, 1)]
+    ids = {d[0] for d in docs if d[0] is not None} - {99}
+    lines = [(i, 1, 1, n, 1.0, 1.0, 0.0, 0.0, "N", "O", dt.datetime(2000, 1, 1)) for i in ids for n in (1, 2)] + [(500, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", None)]
+    labels = [(i, i % 2, 0) for i in range(0, 62)] + [(4, 1, 0), (5, None, 0)]
+    t = made(spark, documents=docs, labels=labels, events=[(10, dt.datetime(2000, 1, 1), 1, "a", 1.0, ""), (10, dt.datetime(2000, 1, 1), 1, "a", 1.0, "")],
+             part=[(1, "a", "b", "ECONOMY", 2, 10.0)], lineitem=lines)
+    twice = {4: 2, 5: 4}                                     # two labels each, and two events of 5
+    return t, [d for d in docs if d[0] in ids and d[1] is not None for _ in range(twice.get(d[0], 1))]
+
+
+def test_features_of_odd_rows(spark):
+    t, rows = odd_reviews(spark)
+    r = sentiment.prepare(t)
+    assert sorted(x["review_id"] for x in r.rows.collect()) == sorted(d[0] for d in rows)
+    label = {i: float(1 - i % 2) for i in range(62)} | {4: 0.0}
+    assert all(x["label"] == label[x["review_id"]] for x in r.rows.collect())
+    stop = set(reviews.TX.default_stopwords("english"))
+    counts = {}
+    for i, text, lang, *_ in rows:
+        for w in re.findall(r"[a-z]+|[^a-z0-9\s]+", text.lower()):
+            if lang != "en" or w not in stop:
+                counts[i, w] = counts.get((i, w), 0) + 1
+    held = {i for i in label if hashlib.sha256(str(i).encode()).hexdigest()[:2] < sentiment.HELD_OUT_BELOW}
+    n = sum(d[0] not in held for d in rows)
+    df = {w: sum(x == w and i not in held for i, x in counts) for w in {x for _, x in counts}}
+    words = {w for w, k in df.items() if sentiment.MIN_DF <= k <= sentiment.MAX_DF * n}
+    want = {(i, w): k * (math.log((1 + n) / (1 + df[w])) + 1) for (i, w), k in counts.items() if w in words}
+    norm = {}
+    for (i, _), x in want.items():
+        norm[i] = norm.get(i, 0.0) + x * x
+    got = {(x["review_id"], x["term"]): x["tfidf"] for x in r.features.collect()}
+    assert len(words) > 3 and set(got) == set(want) and all(abs(got[k] - want[k] / math.sqrt(norm[k[0]])) < 1e-9 for k in want)
+
+
+def test_words_are_counted_where_the_texts_lie(spark, monkeypatch):
+    made_, keep = [], sentiment.kept
+    monkeypatch.setattr(sentiment, "kept", lambda df, *a: made_.append(df) or keep(df, *a))
+    sentiment.prepare(odd_reviews(spark)[0])
+    plan = made_[0]._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Generate explode(")]
+    assert "HashAggregate" in above and "Exchange" not in above         # words don't move
+    assert len(re.findall(r"Exchange hashpartitioning\([^\n]*REPARTITION", plan)) == 1      # the texts do, once
