@@ -6,6 +6,9 @@ import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
+from marketlens import session
 from marketlens.plans import reviews, sentiment
 from marketlens.sources.tables import SCHEMAS, Tables
 
@@ -96,3 +99,30 @@ def test_words_are_counted_where_the_texts_lie(spark, monkeypatch):
     above = plan[:plan.index("Generate explode(")]
     assert "HashAggregate" in above and "Exchange" not in above         # words don't move
     assert len(re.findall(r"Exchange hashpartitioning\([^\n]*REPARTITION", plan)) == 1      # the texts do, once
+
+
+def test_stems_of_odd_rows_move_as_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sentiment, "PIECE", 4)
+    rng = random.Random(9)
+    some = ["cats", "a b", 'q"u\\o', "dogs", "", None, "ñandú", "null", "x\ty"]
+    rows = [(i % 37 if i % 11 else None, rng.choice(["en", "de", None]), [rng.choice(some) for _ in range(rng.randint(0, 11))]) for i in range(60)] + [(99, "en", None)]
+    book = [("en", "cats", "cat"), ("de", "cats", "kat"), ("en", "dogs", "dog"), ("en", "dogs", "hound"), ("en", "", "empty"), (None, "cats", "no"), ("en", None, "no"),
+            ("en", "null", None), ("de", "a b", "a"), ("en", "unused", "u")]
+    df = spark.createDataFrame(rows, "id int, lang string, toks array<string>")
+    got = sentiment.stem_tokens(df, spark.createDataFrame(book, "lang string, token string, stem string"), "id")
+    stems, pieces = {}, {}
+    for lang, token, stem in book:
+        if lang and token is not None:
+            stems.setdefault((lang, token), []).append(token if stem is None else stem)
+    for key, lang, toks in rows:
+        pieces.setdefault(key, {}).setdefault(0, [])
+        for at, w in enumerate(toks or []):
+            if w is not None:
+                pieces[key].setdefault(at // 4, []).extend((at % 4, s) for s in stems.get((lang, w), [w]))
+    want = {k: [w for p in sorted(of) for _, w in sorted(of[p])] for k, of in pieces.items()}
+    assert {r["id"]: r["stems"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("Generate posexplode")]         # single words are never dealt to be put together
+    labels = session.block_labels(spark)
+    parts = spark.createDataFrame([(v,) for v in labels], "v int").select(F.pmod(F.hash("v"), F.lit(len(labels))).alias("p")).distinct().count()
+    assert len(set(labels)) == len(labels) and parts == len(labels) == int(spark.conf.get("spark.sql.shuffle.partitions"))
