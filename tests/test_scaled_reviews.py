@@ -6,6 +6,7 @@ import math
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlens import session
@@ -126,3 +127,40 @@ def test_stems_of_odd_rows_move_as_pieces(spark, monkeypatch):
     labels = session.block_labels(spark)
     parts = spark.createDataFrame([(v,) for v in labels], "v int").select(F.pmod(F.hash("v"), F.lit(len(labels))).alias("p")).distinct().count()
     assert len(set(labels)) == len(labels) and parts == len(labels) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize(("k", "max_n", "first"), [(3, 3, 4), (2, 4, 1), (4, 3, 1_000), (30, 2, 6), (3, 1, 2)])
+def test_top_ngrams_equal_counting_all(spark, k, max_n, first):
+    rng = random.Random(k)
+    line = ["qx", "qy", "qz"]                                # words that are rare but for one line
+    rows = []
+    for i in range(120):
+        side = "negative" if i % 3 else "positive"
+        toks = [f"w{min(int(rng.expovariate(0.2)), 40)}" for _ in range(rng.randint(0, 20))]
+        rows.append((side, toks + (line if i % 4 == 0 else []) + (["äö", "aa"] if i % 2 else [])))
+    rows += [("negative", ["uu"]), ("positive", [])]
+    counts = {}
+    for side, toks in rows:
+        for n in range(1, max_n + 1):
+            for i in range(len(toks) - n + 1):
+                key = (side, n, " ".join(toks[i:i + n]))
+                counts[key] = counts.get(key, 0) + 1
+    want = set()
+    for side, n in {(s, n) for s, n, _ in counts}:
+        best = sorted(((-c, g.encode()) for (s, m, g), c in counts.items() if (s, m) == (side, n)))[:k]
+        want |= {(side, n, g.decode(), -c, i + 1) for i, (c, g) in enumerate(best)}
+    df = spark.createDataFrame(rows, "sentiment string, toks array<string>")
+    got = reviews.top_ngrams_of(df, k, max_n, first)
+    assert got.columns == ["sentiment", "n", "ngram", "count", "rank"] and {tuple(r) for r in got.collect()} == want
+    assert reviews.top_ngrams_of(df.where("size(toks) = 0"), k, max_n, first).count() == 0
+
+
+def test_rare_ngrams_are_not_counted(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [("negative", [w for _ in range(20) for w in (rng.choice(["aa", "bb", "cc"]), rng.choice(["dd", "ee"]), f"w{rng.randint(0, 10**6)}")]) for _ in range(80)]
+    written, keep = [], reviews.kept
+    monkeypatch.setattr(reviews, "kept", lambda df, *a: written.append(keep(df, *a)) or written[-1])
+    got = reviews.top_ngrams_of(spark.createDataFrame(rows, "sentiment string, toks array<string>"), 5, 2, first=5)
+    assert got.count() == 10 and got.where("n = 2 AND count > 200").count() == 5
+    every = len({tuple(toks[i:i + 2]) for _, toks in rows for i in range(len(toks) - 1)})
+    assert every > 2_000 and sum(x.where("n = 2").count() for x in written) < 50
