@@ -72,8 +72,9 @@ def spend_likelihood(point: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray,
     x, m = cells.T
     c, at = np.unique(x, return_inverse=True)
     total, log_m = np.log(x * m + v), np.log(m)
-    value = (log_gamma(p * c + q) - log_gamma(p * c) - log_gamma(q) + q * np.log(v) + p * c * np.log(c))[at] + (p * x - 1) * log_m - (p * x + q) * total
-    in_p = x * ((digamma(p * c + q) - digamma(p * c) + np.log(c))[at] + log_m - total)
+    value = ((log_gamma(p * c + q) - log_gamma(p * c) - log_gamma(q) + q * np.log(v))[at] + (p * x - 1) * log_m + (p * c * np.log(c))[at]
+             - (p * x + q) * total)
+    in_p = x * ((digamma(p * c + q) - digamma(p * c))[at] + log_m + np.log(c)[at] - total)
     in_q = (digamma(p * c + q) - digamma(q) + np.log(v))[at] - total
     in_v = q / v - (p * x + q) / (x * m + v)
     return value, np.stack([in_p * p, in_q * q, in_v * v], axis=1)
@@ -91,7 +92,7 @@ def packed(cells: DataFrame, n_cells: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([width], pa.int32()), pa.array([m.tobytes()], pa.binary())], ["width", "cells"])
 
     parts = max(math.ceil(n_cells / CELLS_A_TASK), 1)
-    return cut_lineage(cells.coalesce(parts).mapInArrow(pack, "width int, cells binary"))
+    return cut_lineage(cells.mapInArrow(pack, "width int, cells binary").coalesce(parts))
 
 
 def summed(cells: DataFrame, likelihood: Callable, n: int) -> Callable[[list[np.ndarray]], tuple[np.ndarray, np.ndarray]]:
@@ -100,16 +101,15 @@ def summed(cells: DataFrame, likelihood: Callable, n: int) -> Callable[[list[np.
 
     def evaluate(points: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         def add(batches):
-            out = np.zeros((len(points), len(points[0]) + 1))
             for batch in batches:
                 for width, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    m = np.frombuffer(data, np.float64).reshape(-1, width)
+                    m, out = np.frombuffer(data, np.float64).reshape(-1, width), np.zeros((len(points), len(points[0]) + 1))
                     for i, point in enumerate(points):
                         value, slope = likelihood(point, m[:, :-1])
-                        out[i, 0] += m[:, -1] @ value
-                        out[i, 1:] += m[:, -1] @ slope
-            i, k = np.indices(out.shape)
-            yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(k.ravel(), pa.int32()), pa.array(out.ravel())], ["i", "k", "v"])
+                        out[i, 0] = m[:, -1] @ value
+                        out[i, 1:] = m[:, -1] @ slope
+                    i, k = np.indices(out.shape)
+                    yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(k.ravel(), pa.int32()), pa.array(out.ravel())], ["i", "k", "v"])
 
         total = np.zeros((len(points), len(points[0]) + 1))
         for row in cells.mapInArrow(add, "i int, k int, v double").groupBy("i", "k").agg(F.sum("v").alias("v")).collect():
